@@ -1,6 +1,7 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-Tokens are words, A-Z lower-cased.  A mask such as ``1101..`` is laid over every
+Tokens are words between white space, lower-cased, without the punctuation at
+their ends (a word of punctuation only stays as it is).  A mask such as ``1101..`` is laid over every
 window of tokens of both sides and hashes the tokens under its ones; a changed
 token under a zero leaves the hash as it was, so a window with substitutions still
 meets its source under one mask or another.  Test hashes are few and training
@@ -17,8 +18,8 @@ Runs of one hash occurring many times in a document yield one hit per
 
 Defined results: null or wordless texts on either side match nothing; items
 shorter than the masks are looked for by their whole token sequence; null ids
-match but are reported as null; repeated rows are reported per distinct id and
-text; other columns are ignored; no rows give no rows.
+match but are reported as null; repeated rows are reported once each; other
+columns are ignored; no rows give no rows.
 """
 from __future__ import annotations
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, durable, pick, schema, small_batches, text_or_empty, words_of
+from .common import arrow_schema, durable, pick, schema, small_batches, text_or_empty
 
 MASKS = ("11101100101111", "11011010111011", "1111111111")
 #: 2^26 bits: 8 MB in every worker, for any benchmark.
@@ -35,6 +36,17 @@ BITS = 26
 _SALT = 0x9E3779B97F4A7C15
 
 
+_EDGES = b".,;:!?\"'()[]{}<>%&$#*|/\\-_+=~^`@"
+
+
+def _words(text: str) -> list[bytes]:
+    return text.lower().encode("utf-8", "surrogatepass").split()
+
+
+def _bare(word: bytes) -> bytes:
+    return word.strip(_EDGES) or word
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -50,12 +62,12 @@ class Hasher:
     def tokens(self, text: str) -> np.ndarray:
         from xxhash import xxh64_intdigest
 
-        words = words_of(text)
+        words = _words(text)
         table = self.table
         if len(table) > 1_000_000:
             table.clear()
         for w in {*words}.difference(table):
-            table[w] = xxh64_intdigest(w)
+            table[w] = xxh64_intdigest(_bare(w))
         return np.fromiter(map(table.__getitem__, words), np.uint64, len(words))
 
 
@@ -144,7 +156,7 @@ def _verify(min_match: int, min_share: float, penalty: float, out):
         for batch in batches:
             cols: list[list] = [[] for _ in to]
             for row, item, diagonals, text, passage in zip(*(batch.column(c).to_pylist() for c in ("row", "item", "diagonals", "text", "passage"))):
-                doc, test = words_of(text or ""), words_of(passage or "")
+                doc, test = [*map(_bare, _words(text or ""))], [*map(_bare, _words(passage or ""))]
                 best = (0, 0, 0)
                 for d in diagonals:
                     low, high = max(0, -d), min(len(test), len(doc) - d)
@@ -161,25 +173,11 @@ def _verify(min_match: int, min_share: float, penalty: float, out):
     return run
 
 
-def overlaps(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    masks: tuple[str, ...] = MASKS,
-    min_match: int = 13,
-    min_share: float = 0.8,
-    penalty: float = 2.0,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    item_col: str = "item_id",
-    item_text_col: str = "text",
-) -> DataFrame:
-    """``id_col``, ``item_col``, start, end (tokens of the document, end
-    exclusive), n_match, n_item: one row per contaminated document and item."""
-    spark = docs.sparkSession
+def overlaps_of(base: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS, min_match: int = 13, min_share: float = 0.8, penalty: float = 2.0) -> DataFrame:
+    """``base``: row (unique), text; ``items``: item (unique), text ->
+    row, item, start, end, n_match, n_item."""
+    spark = base.sparkSession
     small_batches(spark)
-    # `row` and `item` name rows of these scans, so equal or null ids stay apart.
-    base = pick(docs, id=id_col, text=text_col).withColumn("text", text_or_empty("text")).withColumn("row", F.monotonically_increasing_id())
-    items = durable(pick(benchmark, item_id=item_col, text=item_text_col).withColumn("text", text_or_empty("text")).withColumn("item", F.monotonically_increasing_id()))
     hashed = durable(_item_seeds(items, masks))
     shortest = min(map(len, masks))
     words = F.size(F.filter(F.split("text", r"[ \t\n\x0B\f\r]+"), lambda w: w != ""))
@@ -190,11 +188,33 @@ def overlaps(
     hits = durable(
         passed.join(hashed.withColumnRenamed("at", "item_at"), "hash")
         .select("row", "item", (F.col("at") - F.col("item_at")).alias("diagonal"))
-        .distinct()
         .groupBy("row", "item")
         .agg(F.array_sort(F.collect_set("diagonal")).alias("diagonals"))
     )
     out = schema(("row", "long"), ("item", "long"), ("start", "int"), ("end", "int"), ("n_match", "int"), ("n_item", "int"))
     met = hits.join(base.select("row", "text"), "row").join(items.select("item", F.col("text").alias("passage")), "item")
-    found = met.select("row", "item", "diagonals", "text", "passage").mapInArrow(_verify(min_match, min_share, penalty, out), out)
+    return met.select("row", "item", "diagonals", "text", "passage").mapInArrow(_verify(min_match, min_share, penalty, out), out)
+
+
+def _named_items(benchmark: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
+    items = pick(benchmark, item_id=item_col, text=item_text_col).withColumn("text", text_or_empty("text"))
+    return durable(items.withColumn("item", F.monotonically_increasing_id()))
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", **limits) -> DataFrame:
+    """``id_col``, ``item_col``, start, end (tokens of the document, end
+    exclusive), n_match, n_item: one row per contaminated row and item.
+    ``limits`` are those of ``overlaps_of``."""
+    # `row` and `item` name rows of these scans, so equal or null ids stay apart.
+    base = pick(docs, id=id_col, text=text_col).withColumn("text", text_or_empty("text")).withColumn("row", F.monotonically_increasing_id())
+    items = _named_items(benchmark, item_col, item_text_col)
+    found = overlaps_of(base.select("row", "text"), items, **limits)
     return found.join(base.select("row", "id"), "row").join(items.select("item", "item_id"), "item").select(F.col("id").alias(id_col), F.col("item_id").alias(item_col), "start", "end", "n_match", "n_item")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", **limits) -> DataFrame:
+    """The rows of ``docs`` that no benchmark item contaminates."""
+    marked = docs.withColumn("__row", F.monotonically_increasing_id())
+    base = marked.select(F.col("__row").alias("row"), text_or_empty(F.col(f"`{text_col}`")).alias("text"))
+    bad = overlaps_of(base, _named_items(benchmark, item_col, item_text_col), **limits).select(F.col("row").alias("__row")).distinct()
+    return marked.join(bad, "__row", "left_anti").select(*[f"`{c}`" for c in docs.columns])

@@ -10,7 +10,7 @@ for a term is multiplied with the frequencies, summed per document where it
 lies, and only those sums are dealt on by block.
 
 Blocks are numbered by partition and order, so a lost task makes the same ones
-again.  Header rows (null term) carry each block's document ids and what is
+again.  Header rows (``head``) carry each block's document ids and what is
 known of a document without a join.
 """
 from __future__ import annotations
@@ -38,10 +38,10 @@ def post(docs: DataFrame, make: Callable[[], Callable], extra: T.StructType) ->
     """``docs`` has ``id`` and ``text``.  ``make()`` returns, in the worker, a
     function text -> (Counter of terms to join, tuple of header values).
 
-    Returns term, salt, block, postings; a header row has a null term, and
-    in ``postings`` an Arrow table of id and the header values.
+    Returns head, term, salt, block, postings; a header row has in ``postings``
+    an Arrow table of id and the header values, and a term of its own.
     """
-    out = schema(("term", "binary"), ("salt", "int"), ("block", "long"), ("postings", "binary"))
+    out = schema(("head", "boolean"), ("term", "binary"), ("salt", "int"), ("block", "long"), ("postings", "binary"))
     header = arrow_schema(T.StructType([docs.schema["id"]] + extra.fields))
 
     def flush(block, heads, terms, to):
@@ -49,13 +49,13 @@ def post(docs: DataFrame, make: Callable[[], Callable], extra: T.StructType) ->
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, header) as writer:
             writer.write_table(table)
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary()), pa.array([block % SALTS], pa.int32()), pa.array([block], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], schema=to)
+        yield pa.RecordBatch.from_arrays([pa.array([True]), pa.array([b"\0head\0%d" % block], pa.binary()), pa.array([block % SALTS], pa.int32()), pa.array([block], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], schema=to)
         names = list(terms)
         for at in range(0, len(names), 50_000):
             some = names[at : at + 50_000]
             data = [np.array(terms[t], np.uint16).tobytes() for t in some]
             salt = np.array([block % SALTS if len(d) >= 4 * OFTEN else 0 for d in data], np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary()), pa.array(salt), pa.array(np.full(len(some), block)), pa.array(data, pa.binary())], schema=to)
+            yield pa.RecordBatch.from_arrays([pa.array([False] * len(some)), pa.array(some, pa.binary()), pa.array(salt), pa.array(np.full(len(some), block)), pa.array(data, pa.binary())], schema=to)
 
     def run(batches):
         from pyspark import TaskContext
@@ -94,17 +94,16 @@ def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[first], np.add.reduceat(values, first, axis=0) if len(keys) else values
 
 
-def add_up(rows: DataFrame, value_names: list[str], look: Callable[[], Callable] | None = None) -> DataFrame:
+def add_up(rows: DataFrame, look: Callable[[], Callable]) -> DataFrame:
     """Sums per block and document of value x frequency.
 
-    ``rows`` has term, block, postings and, unless ``look`` is given, the
-    columns ``value_names`` (doubles).  ``look()`` returns in the worker a
-    function: list of terms -> float64 array (terms, values).
+    ``rows`` has head, term, block, postings and what ``look`` needs.
+    ``look()`` returns in the worker a function: record batch of term rows ->
+    float64 array (rows, values).
 
     Returns block, header (the header rows pass through), docs, sums (packed).
     """
     out = schema(("block", "long"), ("header", "binary"), ("docs", "binary"), ("sums", "binary"))
-    width = len(value_names)
 
     def emit(keep, to):
         blocks = np.concatenate([k[0] for k in keep])
@@ -122,11 +121,10 @@ def add_up(rows: DataFrame, value_names: list[str], look: Callable[[], Callable]
 
     def run(batches):
         to = arrow_schema(out)
-        find = look() if look else None
+        find = look()
         keep, held = [], 0
         for batch in batches:
-            term = batch.column("term")
-            is_head = np.asarray(term.is_null())
+            is_head = batch.column("head").to_numpy(zero_copy_only=False).astype(bool)
             for i in np.flatnonzero(is_head).tolist():
                 yield pa.RecordBatch.from_arrays([batch.column("block").slice(i, 1), batch.column("postings").slice(i, 1).cast(pa.binary()), pa.array([None], pa.binary()), pa.array([None], pa.binary())], schema=to)
             rest = batch.filter(pa.array(~is_head))
@@ -135,10 +133,7 @@ def add_up(rows: DataFrame, value_names: list[str], look: Callable[[], Callable]
             packed = rest.column("postings").to_pylist()
             lengths = np.fromiter(map(len, packed), np.int64, len(packed)) >> 2
             pairs = np.frombuffer(b"".join(packed), np.uint16).reshape(-1, 2)
-            if find:
-                values = find(rest.column("term").to_pylist())
-            else:
-                values = np.stack([np.asarray(rest.column(n).to_numpy(zero_copy_only=False), np.float64) for n in value_names], axis=1)
+            values = find(rest)
             of = np.repeat(np.arange(len(packed)), lengths)
             keep.append((np.asarray(rest.column("block"))[of], pairs[:, 0].astype(np.int64), values[of] * pairs[:, 1:2]))
             held += len(of)
@@ -148,7 +143,6 @@ def add_up(rows: DataFrame, value_names: list[str], look: Callable[[], Callable]
         if keep:
             yield emit(keep, to)
 
-    assert width
     return rows.mapInArrow(run, out)
 
 
@@ -184,7 +178,3 @@ def finish(sums: DataFrame, id_type: T.DataType, extra: T.StructType, value_name
             yield done(header, total, to)
 
     return sums.repartition(partitions, "block").sortWithinPartitions("block", F.col("header").isNull()).mapInArrow(run, out)
-
-
-def count_words(found: list) -> Counter:
-    return Counter(found)

@@ -3,10 +3,10 @@ from __future__ import annotations
 
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from . import bpe, bucket_digest, decontaminate, html_text, pii, simhash, token_counts, url_filter
 from pyspark.sql import functions as F
 
+from . import bpe, bucket_digest, class_lm, decontaminate, html_text, line_crf, pii, simhash, token_counts, url_filter
+
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -33,11 +33,20 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find_pii(_read(spark, sf_dir, "documents")))
 
 
+def op6_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score(_read(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return line_crf.score(docs, line_crf.train(docs, _read(spark, sf_dir, "labels")))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -46,6 +55,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_read(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_50k.json"), tokenizers.PATTERN)
 
 
-QUERIES = {q.__name__: q for q in (op1_bpe, op2_html_text, op3_bucket_digest, op4_url_filter, op5_pii, op7_simhash, op9_decontaminate, op10_token_counts)}
+QUERIES = {q.__name__: q for q in (op1_bpe, op2_html_text, op3_bucket_digest, op4_url_filter, op5_pii, op6_class_lm, op7_simhash, op8_line_crf, op9_decontaminate, op10_token_counts)}
 
 ORACLES: dict[str, str] = {}

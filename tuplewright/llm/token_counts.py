@@ -101,7 +101,8 @@ def _look(path: str):
     def make():
         tokenizer, table = _tokenizer(path), {}
 
-        def find(terms: list[bytes]) -> np.ndarray:
+        def find(batch: pa.RecordBatch) -> np.ndarray:
+            terms = batch.column("term").to_pylist()
             if len(table) > 1_000_000:
                 table.clear()
             new = list({t for t in terms if t not in table})
@@ -125,7 +126,7 @@ def count_tokens(docs: DataFrame, path: str, pattern: str, limit: int = 512, id_
     parts = shuffle_partitions(spark)
     extra = schema(("n_bytes", "long"), ("known", "long"))
     posted = docterms.post(base, _terms(path, pattern), extra).repartition(parts, "term", "salt")
-    sums = docterms.add_up(posted, ["joined"], _look(path))
+    sums = docterms.add_up(posted, _look(path))
     rows = docterms.finish(sums, base.schema["id"].dataType, extra, ["joined"], parts)
     return rows.select(F.col("id").alias(id_col), "n_bytes", (F.col("known") + F.col("joined").cast("long")).alias("n_tokens")).withColumn("over_limit", F.col("n_tokens") > limit)
 
