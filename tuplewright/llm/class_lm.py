@@ -10,8 +10,9 @@ other words, seen or not, belong to an open class by their shape, so a word's
 class never needs a lookup.  Emissions of open classes are smoothed by
 ``delta`` with one more type for unseen words; transitions by ``epsilon``.
 
-Scoring: what depends on frequent words and classes is summed where a text lies;
-counts of all other words come by the term join of ``docterms``.
+Scoring: what depends on classes and on the ``n_local`` most frequent words (a
+table of fixed size) is summed where a text lies; counts of all other words come
+by the term join of ``docterms``.
 
 A null or wordless text is one end token.  Null ids hash as no text and are
 scored, not trained on; repeated rows count each time; other columns are
@@ -32,19 +33,33 @@ from .common import arrow_schema, durable, pick, schema, shuffle_partitions, sma
 
 N_OPEN = 6
 FLUSH = 400_000
-_SYMBOLS = bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + bytes(range(123, 127))
-_ENDS = b".,;:!?"
+_LETTERS = bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256)) + b"'-"
+_DIGITS = b"0123456789"
 
 
 def open_class(word: bytes) -> int:
-    """Shape: digits; symbols; end of clause; by length up to 4, 9, more bytes."""
-    if word != word.translate(None, b"0123456789"):
-        return 0
-    if word[-1:] in (b".", b",", b";", b":", b"!", b"?"):
-        return 2 if word[:-1] == word[:-1].translate(None, _SYMBOLS) else 1
-    if word != word.translate(None, _SYMBOLS):
-        return 1
-    return 3 if len(word) <= 4 else 4 if len(word) <= 9 else 5
+    """Shape: 0 with digits, 1 with symbols, 2 ending a clause, else 3, 4, 5 by
+    length: up to 4, up to 9, more bytes."""
+    rest = word.translate(None, _LETTERS)
+    if not rest:
+        return 3 if len(word) <= 4 else 4 if len(word) <= 9 else 5
+    if len(rest) == 1 and rest in b".,;:!?" and word.endswith(rest):
+        return 2
+    return 1 if rest == rest.translate(None, _DIGITS) else 0
+
+
+class Symbols(dict):
+    """word -> symbol; a word not given gets its open class's, kept for up to a million words."""
+
+    def __init__(self, known: dict[bytes, int], first_open: int):
+        super().__init__(known)
+        self.first_open = first_open
+
+    def __missing__(self, word: bytes) -> int:
+        symbol = self.first_open + open_class(word)
+        if len(self) < 1_000_000:
+            self[word] = symbol
+        return symbol
 
 
 def _plogp(x: np.ndarray) -> np.ndarray:
@@ -125,11 +140,10 @@ def bigram_matrix(docs: DataFrame, words: list[bytes]) -> np.ndarray:
     out = schema(("left", "int"), ("cells", "binary"))
 
     def run(batches):
-        to, counts = arrow_schema(out), np.zeros(n * n, np.int64)
+        to, counts, symbol = arrow_schema(out), np.zeros(n * n, np.int64), Symbols(at, len(words)).__getitem__
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                ids = [n - 1, *(at[w] if w in at else len(words) + open_class(w) for w in words_of(text)), n - 1]
-                ids = np.array(ids, np.int64)
+                ids = np.array([n - 1, *map(symbol, words_of(text)), n - 1], np.int64)
                 np.add.at(counts, ids[:-1] * n + ids[1:], 1)
         for left in np.flatnonzero(counts.reshape(n, n).any(axis=1)).tolist():
             row = counts[left * n : left * n + n]
@@ -158,14 +172,14 @@ def bigram_matrix(docs: DataFrame, words: list[bytes]) -> np.ndarray:
 class Model:
     """Everything of fixed size that scoring needs."""
 
-    def __init__(self, counts: DataFrame, train: DataFrame, n_exchange: int, n_classes: int, delta: float, epsilon: float):
+    def __init__(self, counts: DataFrame, train: DataFrame, n_exchange: int, n_local: int, n_classes: int, delta: float, epsilon: float):
         stats = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
         self.n_docs = train.count()
         self.tokens = stats[0] + self.n_docs
         self.types = stats[1] + (self.n_docs > 0)
-        top = counts.orderBy(F.desc("c"), "term").limit(n_exchange).collect()
-        self.words = [bytes(r.term) for r in top]
-        self.counts = [r.c for r in top]
+        frequent = _most_frequent(counts, max(n_exchange, n_local))
+        self.words = [w for w, _ in frequent[:n_exchange]]
+        self.counts = [c for _, c in frequent[:n_exchange]]
         matrix = bigram_matrix(train, self.words)
         k = len(self.words)
         of = exchange(matrix, k, n_classes)
@@ -178,9 +192,8 @@ class Model:
         mass = pairs.sum(axis=0)
         self.class_of = {w: int(c) for w, c in zip(self.words, of)}
         self.first_open = n_classes
-        frequent = set(self.words)
         shapes = _open_types(counts)
-        for w in frequent:
+        for w in self.words:
             shapes[open_class(w)] -= 1
         self.open_mass = mass[n_classes : n_classes + N_OPEN]
         self.delta = delta
@@ -190,9 +203,24 @@ class Model:
         for w, c in zip(self.words, self.counts):
             inner[self.class_of[w]] += c
         self.local = {w: (math.log10(c + 0.5) - self.base_scale, math.log10(c / inner[self.class_of[w]])) for w, c in zip(self.words, self.counts)}
+        for w, c in frequent[n_exchange:]:
+            self.local[w] = math.log10(c + 0.5) - self.base_scale, math.log10((c + delta) / self.open_size[open_class(w)])
         self.end_base = math.log10(self.n_docs + 0.5) - self.base_scale
 
 
+def _most_frequent(counts: DataFrame, n: int) -> list[tuple[bytes, int]]:
+    """The ``n`` terms of highest count, ties by term.  A histogram by powers of
+    two first leaves few more than ``n`` terms to sort."""
+    power = F.floor(F.log2("c")).cast("int")
+    seen, least = 0, 0
+    for p, size in sorted(counts.groupBy(power.alias("p")).count().collect(), reverse=True):
+        seen, least = seen + size, p
+        if seen >= n:
+            break
+    top = counts.where(F.col("c") >= 1 << least).orderBy(F.desc("c"), "term").limit(n)
+    return [(bytes(r.term), r.c) for r in top.collect()]
+
+
 def _open_types(counts: DataFrame) -> np.ndarray:
     """Distinct words per open class."""
     out = schema(("n", "binary"))
@@ -210,36 +238,34 @@ def _open_types(counts: DataFrame) -> np.ndarray:
     return total
 
 
-def _terms(shared):
-    def make():
-        model = shared.value
-        local, class_of, first, end = model.local, model.class_of, model.first_open, model.boundary
-        steps = model.transitions
-
-        def terms_of(text: str):
-            words = words_of(text)
-            found = Counter(words)
-            known, base, score, rest = 0, 0.0, 0.0, {}
-            shape = {}
-            for w, n in found.items():
-                if w in local:
-                    known += n
-                    b, e = local[w]
-                    base += n * b
-                    score += n * e
-                else:
-                    rest[w] = n
-                    shape[w] = first + open_class(w)
-            shape.update((w, class_of[w]) for w in found.keys() & class_of.keys())
-            ids = np.array([end, *map(shape.__getitem__, words), end])
-            score += float(steps[ids[:-1], ids[1:]].sum())
-            if model.n_docs:
-                known += 1
-            return rest, (len(words) + 1, known, base + model.end_base, score)
-
-        return terms_of
-
-    return make
+class _Scored(docterms.Terms):
+    def __init__(self, model: Model):
+        self.model = model
+        self.symbol = Symbols(model.class_of, model.first_open).__getitem__
+
+    def split(self, text):
+        words = words_of(text)
+        return words, (len(words) + 1,)
+
+    def describe(self, terms):
+        """Local, class, base, emission."""
+        none = (0.0, 0.0)
+        local = self.model.local
+        table = np.zeros((len(terms), 4))
+        table[:, 0] = np.fromiter((t in local for t in terms), float, len(terms))
+        table[:, 1] = np.fromiter(map(self.symbol, terms), float, len(terms))
+        table[:, 2:] = np.array([local.get(t, none) for t in terms]).reshape(-1, 2)
+        return table
+
+    def header(self, ids, of, docs, table):
+        model = self.model
+        starts = np.searchsorted(of, np.arange(docs))
+        # Boundary, words of the first text, boundary, words of the second ...
+        symbols = np.append(np.insert(table[ids, 1].astype(np.int64), starts, model.boundary), model.boundary)
+        text = np.insert(of, starts, np.arange(docs))
+        steps = np.bincount(text, model.transitions[symbols[:-1], symbols[1:]], docs)
+        known = np.bincount(of, table[ids, 0], docs).astype(np.int64) + (model.n_docs > 0)
+        return [known, np.bincount(of, table[ids, 2], docs) + model.end_base, np.bincount(of, table[ids, 3], docs) + steps]
 
 
 def _look(shared):
@@ -260,17 +286,17 @@ def held_out(id_col: Column, parts: int = 5, part: int = 1) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % parts == part, F.lit(True))
 
 
-def score(docs: DataFrame, n_exchange: int = 1024, n_classes: int = 48, delta: float = 0.5, epsilon: float = 0.1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, n_exchange: int = 1024, n_local: int = 16384, n_classes: int = 48, delta: float = 0.5, epsilon: float = 0.1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     small_batches(spark)
     base = pick(docs, id=id_col, text=text_col).withColumn("text", text_or_empty("text"))
     train = base.where(~held_out(F.col("id")))
     counts = durable(word_counts(train))
-    model = Model(counts, train, n_exchange, n_classes, delta, epsilon)
+    model = Model(counts, train, n_exchange, n_local, n_classes, delta, epsilon)
     shared = spark.sparkContext.broadcast(model)
     extra = schema(("n_tokens", "long"), ("known", "long"), ("base", "double"), ("own", "double"))
-    posted = docterms.post(base, _terms(shared), extra).join(counts, "term", "left").select("head", "term", "block", "postings", "c")
+    posted = docterms.post(base, lambda: _Scored(shared.value), extra).join(counts, "term", "left").select("head", "term", "block", "postings", "c")
     values = ["more_known", "more_base", "more_own"]
     rows = docterms.finish(docterms.add_up(posted, _look(shared)), base.schema["id"].dataType, extra, values, shuffle_partitions(spark))
     return rows.select(

@@ -15,7 +15,6 @@ known of a document without a join.
 """
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterable
 
 import numpy as np
@@ -26,7 +25,7 @@ from pyspark.sql import types as T
 
 from .common import arrow_schema, schema
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 16_000_000
 BLOCK_DOCS = 60_000
 #: A term found in this many documents of one block is salted by block.
 OFTEN, SALTS = 64, 64
@@ -34,9 +33,45 @@ OFTEN, SALTS = 64, 64
 FLUSH = 2_000_000
 
 
-def post(docs: DataFrame, make: Callable[[], Callable], extra: T.StructType) -> DataFrame:
-    """``docs`` has ``id`` and ``text``.  ``make()`` returns, in the worker, a
-    function text -> (Counter of terms to join, tuple of header values).
+class Terms:
+    """What ``post`` asks of an operator, in the worker."""
+
+    def split(self, text: str) -> tuple[list, tuple]:
+        """The terms of a text in order, and header values known from the text."""
+        raise NotImplementedError
+
+    def describe(self, terms: list) -> np.ndarray:
+        """Per distinct term a row of numbers; the first is 1 if the term needs no join."""
+        raise NotImplementedError
+
+    def header(self, ids: np.ndarray, of: np.ndarray, docs: int, table: np.ndarray) -> list[np.ndarray]:
+        """Further header columns of a block: ``ids`` are all its terms, ``of`` their documents."""
+        raise NotImplementedError
+
+
+class _Numbers(dict):
+    def __missing__(self, term):
+        self[term] = n = len(self)
+        return n
+
+
+def _packed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(id << 16 | document) keys, repeated -> ids, where their pairs begin, 16-bit pairs."""
+    keys, counts = np.unique(keys, return_counts=True)
+    times = -(-counts // 65535)
+    if (times > 1).any():
+        last = np.cumsum(times) - 1
+        full = np.full(times.sum(), 65535)
+        full[last] = counts - 65535 * (times - 1)
+        keys, counts = np.repeat(keys, times), full
+    ids = keys >> 16
+    first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else np.empty(0, np.int64)
+    return ids[first], np.r_[first, len(ids)], np.stack([keys & 0xFFFF, counts], axis=1).astype("<u2")
+
+
+def post(docs: DataFrame, make: Callable[[], Terms], extra: T.StructType) -> DataFrame:
+    """``docs`` has ``id`` and ``text``; ``extra`` names the header values, those of
+    ``split`` first.
 
     Returns head, term, salt, block, postings; a header row has in ``postings``
     an Arrow table of id and the header values, and a term of its own.
@@ -44,44 +79,48 @@ def post(docs: DataFrame, make: Callable[[], Callable], extra: T.StructType) ->
     out = schema(("head", "boolean"), ("term", "binary"), ("salt", "int"), ("block", "long"), ("postings", "binary"))
     header = arrow_schema(T.StructType([docs.schema["id"]] + extra.fields))
 
-    def flush(block, heads, terms, to):
-        table = pa.table([pa.array(c, f.type) for c, f in zip(zip(*heads), header)], schema=header)
+    def flush(block, keys, values, numbers, ids, lengths, terms, to):
+        flat = np.concatenate(ids)
+        of = np.repeat(np.arange(len(keys)), lengths)
+        names = list(numbers)
+        table = terms.describe(names)
+        columns = [keys, *zip(*values), *terms.header(flat, of, len(keys), table)]
+        block_table = pa.table([pa.array(c, f.type) for c, f in zip(columns, header)], schema=header)
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, header) as writer:
-            writer.write_table(table)
+            writer.write_table(block_table)
         yield pa.RecordBatch.from_arrays([pa.array([True]), pa.array([b"\0head\0%d" % block], pa.binary()), pa.array([block % SALTS], pa.int32()), pa.array([block], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], schema=to)
-        names = list(terms)
-        for at in range(0, len(names), 50_000):
-            some = names[at : at + 50_000]
-            data = [np.array(terms[t], np.uint16).tobytes() for t in some]
-            salt = np.array([block % SALTS if len(d) >= 4 * OFTEN else 0 for d in data], np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array([False] * len(some)), pa.array(some, pa.binary()), pa.array(salt), pa.array(np.full(len(some), block)), pa.array(data, pa.binary())], schema=to)
+        joined = table[flat, 0] == 0
+        present, begins, pairs = _packed(flat[joined] << 16 | of[joined])
+        salts = np.where(np.diff(begins) >= OFTEN, block % SALTS, 0).astype(np.int32)
+        for at in range(0, len(present), 50_000):
+            some, cuts = present[at : at + 50_000], begins[at : at + 50_001]
+            data = pairs[cuts[0] : cuts[-1]]
+            postings = pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(((cuts - cuts[0]) * 4).astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+            names_of = [names[i] for i in some.tolist()]
+            if names_of and isinstance(names_of[0], str):
+                names_of = [n.encode() for n in names_of]
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(some), bool)), pa.array(names_of, pa.binary()), pa.array(salts[at : at + 50_000]), pa.array(np.full(len(some), block)), postings], schema=to)
 
     def run(batches):
         from pyspark import TaskContext
 
-        to, terms_of = arrow_schema(out), make()
+        to, terms = arrow_schema(out), make()
         block = TaskContext.get().partitionId() << 32
-        heads, terms, size = [], {}, 0
+        keys, values, numbers, ids, lengths, size = [], [], _Numbers(), [], [], 0
         for batch in batches:
             for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-                found, values = terms_of(text or "")
-                at = len(heads)
-                heads.append((key, *values))
-                for term, n in found.items():
-                    pairs = terms.get(term)
-                    if pairs is None:
-                        pairs = terms[term] = []
-                    while n > 65535:
-                        pairs += (at, 65535)
-                        n -= 65535
-                    pairs += (at, n)
+                found, known = terms.split(text or "")
+                keys.append(key)
+                values.append(known)
+                ids.append(np.fromiter(map(numbers.__getitem__, found), np.int64, len(found)))
+                lengths.append(len(found))
                 size += len(text or "")
-                if size >= BLOCK_CHARS or len(heads) >= BLOCK_DOCS:
-                    yield from flush(block, heads, terms, to)
-                    block, heads, terms, size = block + 1, [], {}, 0
-        if heads:
-            yield from flush(block, heads, terms, to)
+                if size >= BLOCK_CHARS or len(keys) >= BLOCK_DOCS:
+                    yield from flush(block, keys, values, numbers, ids, lengths, terms, to)
+                    block, keys, values, numbers, ids, lengths, size = block + 1, [], [], _Numbers(), [], [], 0
+        if keys:
+            yield from flush(block, keys, values, numbers, ids, lengths, terms, to)
 
     return docs.select("id", "text").mapInArrow(run, out)
 

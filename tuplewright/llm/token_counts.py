@@ -17,7 +17,6 @@ each; other columns are ignored; an empty table yields an empty one.
 from __future__ import annotations
 
 import json
-from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -64,34 +63,27 @@ def _byte_letters() -> list[str]:
     return [chr(b if b in shown else next(spare)) for b in range(256)]
 
 
-def _terms(path: str, pattern: str):
-    def make():
+class _PreTokens(docterms.Terms):
+    def __init__(self, path: str, pattern: str):
         import regex
 
-        find, whole = regex.compile(pattern).findall, _whole(path)
+        self.find, self.whole = regex.compile(pattern).findall, _whole(path)
         with open(path) as file:
-            special = [t["content"] for t in json.load(file)["added_tokens"]]
-        cut = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
-
-        def terms_of(text: str):
-            parts, known = [text], 0
-            if cut and any(s in text for s in special):
-                parts = cut.split(text)
-                known = len(parts) - 1
-            found = Counter()
-            for part in parts:
-                found.update(find(part))
-            rest = {}
-            for term, n in found.items():
-                if term in whole:
-                    known += n
-                else:
-                    rest[term.encode()] = n
-            return rest, (len(text.encode()), known)
-
-        return terms_of
+            self.special = [t["content"] for t in json.load(file)["added_tokens"]]
+        self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
 
-    return make
+    def split(self, text):
+        size = (len(text.encode()),)
+        if self.cut and any(s in text for s in self.special):
+            parts = self.cut.split(text)
+            return [t for part in parts for t in self.find(part)], (*size, len(parts) - 1)
+        return self.find(text), (*size, 0)
+
+    def describe(self, terms):
+        return np.fromiter((t in self.whole for t in terms), float, len(terms))[:, None]
+
+    def header(self, ids, of, docs, table):
+        return [np.bincount(of, table[ids, 0], docs).astype(np.int64)]
 
 
 def _look(path: str):
@@ -124,11 +116,11 @@ def count_tokens(docs: DataFrame, path: str, pattern: str, limit: int = 512, id_
     if path.endswith(".model"):
         return _count_whole(base, path, limit, id_col)
     parts = shuffle_partitions(spark)
-    extra = schema(("n_bytes", "long"), ("known", "long"))
-    posted = docterms.post(base, _terms(path, pattern), extra).repartition(parts, "term", "salt")
+    extra = schema(("n_bytes", "long"), ("special", "long"), ("known", "long"))
+    posted = docterms.post(base, lambda: _PreTokens(path, pattern), extra).repartition(parts, "term", "salt")
     sums = docterms.add_up(posted, _look(path))
     rows = docterms.finish(sums, base.schema["id"].dataType, extra, ["joined"], parts)
-    return rows.select(F.col("id").alias(id_col), "n_bytes", (F.col("known") + F.col("joined").cast("long")).alias("n_tokens")).withColumn("over_limit", F.col("n_tokens") > limit)
+    return rows.select(F.col("id").alias(id_col), "n_bytes", (F.col("special") + F.col("known") + F.col("joined").cast("long")).alias("n_tokens")).withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def _count_whole(base: DataFrame, path: str, limit: int, id_col: str) -> DataFrame:
