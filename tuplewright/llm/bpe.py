@@ -51,10 +51,14 @@ def _compiled(pattern: str):
     return regex.compile(pattern)
 
 
-def _id_lists(lists: list[list[int]]) -> pa.Array:
-    flat = np.concatenate([np.asarray(x, np.int32) for x in lists]) if lists else np.empty(0, np.int32)
+def _ids(enc, text: str) -> np.ndarray:
+    return enc.encode_to_numpy(text, disallowed_special=()).astype(np.int32)
+
+
+def _id_lists(lists: list[np.ndarray]) -> pa.Array:
+    flat = np.concatenate(lists) if lists else np.empty(0, np.int32)
     offsets = np.cumsum([0, *map(len, lists)], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32, copy=False)))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
 def _encoder(path: str, pattern: str, out: T.StructType):
@@ -65,7 +69,7 @@ def _encoder(path: str, pattern: str, out: T.StructType):
         for batch in batches:
             keep = [batch.column(f.name) for f in to if f.name != "ids"]
             texts = batch.column("text").to_pylist()
-            ids = _id_lists([enc.encode_ordinary(x or "") for x in texts])
+            ids = _id_lists([_ids(enc, x or "") for x in texts])
             yield pa.RecordBatch.from_arrays([*keep, ids.cast(to.field("ids").type)], schema=to)
 
     return run
@@ -112,7 +116,7 @@ def _piece_encoder(path: str, pattern: str, out: T.StructType):
         to, enc = arrow_schema(out), encoding(path, pattern)
         for batch in batches:
             rows, chunks, starts, texts, froms, tos = (batch.column(c).to_pylist() for c in ("row", "chunk", "start", "text", "from_at", "to_at"))
-            ids = _id_lists([enc.encode_ordinary(t[a - s : None if b is None else b - s]) for t, s, a, b in zip(texts, starts, froms, tos)])
+            ids = _id_lists([_ids(enc, t[a - s : None if b is None else b - s]) for t, s, a, b in zip(texts, starts, froms, tos)])
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(chunks, pa.int32()), ids.cast(to.field("ids").type)], schema=to)
 
     return run
@@ -163,8 +167,8 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: s
         table = {v: k for k, v in read_ranks(ranks_path).items()}
         get = table.__getitem__
         for batch in batches:
-            lists = batch.column(ids_col).to_pylist()
-            raw = pa.array([b"".join(map(get, x or ())) for x in lists], pa.binary())
+            lists = batch.column(ids_col)
+            raw = pa.array([b"".join(map(get, x.values.to_numpy().tolist())) if x.is_valid else b"" for x in lists], pa.binary())
             yield pa.RecordBatch.from_arrays([*[batch.column(n).cast(to.field(n).type) for n in names], raw.cast(to.field(out_col).type)], schema=to)
 
     return encoded.select(*names).mapInArrow(run, out)
