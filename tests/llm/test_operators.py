@@ -1,0 +1,436 @@
+"""Each operator against a brute-force form, and on awkward rows."""
+from __future__ import annotations
+
+import hashlib
+import html
+import math
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import public_tokenizers as tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from tuplewright.llm import bpe, bucket_digest, class_lm, components, decontaminate, html_text, line_crf, pii, queries, similar_groups, simhash, token_counts, url_filter
+
+RANKS = tokenizers.path("byte_bpe_50k.tiktoken")
+JSON = tokenizers.path("byte_bpe_50k.json")
+SF = "/root/testdata/sf0.001"
+ODD = [
+    (10_000, ""),
+    (10_001, None),
+    (10_002, "x"),
+    (10_003, " \n\t "),
+    (10_004, "a" * 5000),
+    (10_005, "same words here again and again"),
+    (10_006, "same words here again and again"),
+    (10_006, "same words here again and again"),
+    (10_007, "é😀 <|endoftext|> it's   \n\n  we'll"),
+    (10_008, "line\n" * 400),
+    (None, "no id at all"),
+    (10_009, "IBAN GB82 WEST 1234 5698 7654 32, SSN 123-45-6789 but 123-45-6789"),
+    (10_010, "a@b.co_m@x.org +1.2.3.4.5 4111 1111 1111 1111 tel +12 345 678 901"),
+]
+ALPHABET = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def lowered(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text.translate(ALPHABET))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    odd = spark.createDataFrame(ODD, "doc_id long, text string")
+    both = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(odd)
+    # Clashing names: operators must leave these behind.
+    return both.select("doc_id", "text", *[F.lit("clash").alias(n) for n in ("id", "row", "ids", "fp", "term", "block", "spans", "score", "head", "component")])
+
+
+@pytest.fixture(scope="module")
+def rows(docs):
+    return [(r.doc_id, r.text or "") for r in docs.collect()]
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], "doc_id long, text string")
+
+
+def as_set(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+@pytest.mark.parametrize("chunk,overlap", [(65536, 4096), (50, 12), (7, 7)])
+def test_bpe_equals_library_and_round_trips(docs, rows, empty, chunk, overlap):
+    encoding = bpe.encoding(RANKS, tokenizers.PATTERN)
+    want = Counter()
+    for key, text in rows:
+        ids = encoding.encode_ordinary(text)
+        want[key, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()] += 1
+
+    def run(df):
+        return bpe.digests(bpe.decode(bpe.encode(df, RANKS, tokenizers.PATTERN, chunk_chars=chunk, overlap=overlap), RANKS))
+
+    assert as_set(run(docs)) == want
+    assert run(empty).count() == 0
+
+
+def test_token_counts_equal_library(docs, rows, empty, monkeypatch):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(JSON)
+    want = Counter()
+    for key, text in rows:
+        n = len(tokenizer.encode(text, add_special_tokens=False).ids)
+        want[key, len(text.encode()), n, n > 512] += 1
+    assert as_set(token_counts.count_tokens(docs, JSON, tokenizers.PATTERN)) == want
+    assert token_counts.count_tokens(empty, JSON, tokenizers.PATTERN).count() == 0
+
+
+def test_token_counts_sentencepiece(docs, rows):
+    import sentencepiece
+
+    path = tokenizers.path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    want = Counter((k, len(t.encode()), len(model.encode(t)), len(model.encode(t)) > 512) for k, t in rows)
+    assert as_set(token_counts.count_tokens(docs, path, tokenizers.PATTERN)) == want
+
+
+def test_html_text_of_the_tables(spark):
+    for page in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        article = re.search(r"<article>(.*)</article>", page.html, re.S)[1]
+        parts = re.split(r"</?(?:h1|p)>", article.replace("<br>", " "))
+        want = [" ".join(html.unescape(re.sub("<[^>]+>", "", p)).split()) for p in parts]
+        assert html_text.main_text(page.html, html_text.train()) == "\n".join(w for w in want if w)
+
+
+def test_html_text_leaves_out_what_is_not_article(spark):
+    page = """<html><head><title>T</title><style>p{}</style></head><body><div id="header"><h1>Site</h1></div>
+    <nav><a href=/>Home</a></nav><div class="cookie-notice"><p>We use cookies for many things, and will go on until all is accepted.</p></div>
+    <main><article><h1>Title</h1><p>Hi &amp; <b>you</b>.<p>Second <a href=#>link</a>  para<br>line<aside>side</aside><p>Be.</p>
+    <form><label>Mail</label></form></article><section id="comments"><p>Great article, I liked reading it very much indeed.</p></section></main>
+    <footer>foot</footer><script>x("</p>")</script><!-- <p>no</p> --></body></html>"""
+    cases = [(1, "u", page), (2, None, None), (3, "u", ""), (None, "u", "<p>" + "word " * 60), (4, "u", "<article><p>open <!-- never closed"), (4, "u", "a < b <3 " + "w " * 40)]
+    df = spark.createDataFrame(cases, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
+    got = {(r.page_id, r.url): (r.text, r.n_chars) for r in html_text.extract(df).collect()}
+    assert got[1, "u"][0] == "Title\nHi & you.\nSecond link para line\nBe."
+    assert got[2, None] == ("", 0) and got[3, "u"] == ("", 0)
+    assert got[None, "u"][0] == " ".join(["word"] * 60)
+    assert got[4, "u"][0] in ("open", "a < b <3 " + " ".join(["w"] * 40))
+    assert html_text.extract(df.limit(0)).count() == 0
+
+
+def test_tree_learns_its_table():
+    tree = html_text.train()
+    assert sum(html_text.is_main(tree, r[:-1]) != bool(r[-1]) for r in html_text.LABELLED) <= 3
+
+
+def test_bucket_digest_pairs(docs, rows, empty):
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    want = Counter()
+    for (key, text), (_, after) in zip(order, order[1:] + order[:1]):
+        k = len(text) // 4
+        changed = text[: len(text) - k] + after[:k]
+        a, b, c = map(bucket_digest.digest, (text, changed, after))
+        want[key, len(text), hashlib.sha256(changed.encode()).hexdigest(), a.hex(), b.hex(), bucket_digest.likeness(a, b), bucket_digest.likeness(a, c)] += 1
+    assert as_set(bucket_digest.digest_pairs(docs)) == want
+    assert bucket_digest.digest_pairs(empty).count() == 0
+    one = bucket_digest.digest_pairs(docs.where("doc_id = 3")).first()
+    assert one.near_next == 1.0
+
+
+def test_bucket_digest_separates(rows):
+    texts = [t for _, t in rows if len(t) > 400]
+    own = [bucket_digest.digest(t) for t in texts]
+    edited = [bucket_digest.likeness(d, bucket_digest.digest(bucket_digest.edit(t, u))) for d, t, u in zip(own, texts, texts[1:])]
+    other = [bucket_digest.likeness(a, b) for a, b in zip(own, own[1:])]
+    assert np.median(edited) > np.median(other) + 0.03
+    assert all(0 <= x <= 1 for x in edited + other)
+
+
+def test_url_rules_and_aliases(spark, sf):
+    pages = [
+        (1, "http://Sub.Example.NET/en/1?x#y", None),
+        (2, "http://a.net/x", None),
+        (3, "http://a.org/fr/", ""),
+        (4, "https://m.good.io/p", '<link href="//a.net/q" REL="canonical">'),
+        (5, "http://good.io/z", "<meta http-equiv=refresh content=\"0; url=https://m.good.io/p\">"),
+        (6, "http://example.net/en/2", '<link rel=canonical href="http://a.net/x">'),
+        (7, None, "<link rel=canonical href=http://a.net/>"),
+        (8, "no scheme/net/", None),
+        (9, "http://net", None),
+        (9, "http://net", None),
+        (None, "http://example.com/de/1", None),
+        (10, "http://good.io/free", '<link rel="canonical" href="/other">'),
+        (11, "http://old.io/1", None),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("host", F.lit("clash")).withColumn("node", F.lit(1))
+    redirects = spark.createDataFrame([("http://old.io/1", "https://m.good.io/p"), (None, "http://x.io")], "source string, target string")
+    got = {(r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(df, redirects=redirects).collect()}
+    assert got == {
+        (1, "sub.example.net", "/en/1", "example.net/en/", "allow"),
+        (2, "a.net", "/x", "net/", "block"),
+        (3, "a.org", "/fr/", "org/fr/", "allow"),
+        (4, "m.good.io", "/p", None, "block"),
+        (5, "good.io", "/z", None, "block"),
+        (6, "example.net", "/en/2", "example.net/en/", "allow"),
+        (7, "", "", None, "allow"),
+        (8, "", "", None, "allow"),
+        (9, "net", "", None, "allow"),
+        (None, "example.com", "/de/1", "example.com/de/", "block"),
+        (10, "good.io", "/free", None, "allow"),
+        (11, "old.io", "/1", None, "block"),
+    }
+    assert url_filter.judge(df).count() == len(pages) and url_filter.judge(df.limit(0)).count() == 0
+    db = duckdb.connect()
+    db.sql(f"create view pages as select * from '{sf}/pages.parquet'")
+    want = Counter(db.sql(queries.ORACLES["op4_url_filter"]).fetchall())
+    assert as_set(queries.op4_url_filter(spark, sf)) == want
+
+
+PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(digits):
+    doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+    return sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
+
+
+def plain_spans(text):
+    out = []
+    for order, (kind, pattern) in enumerate(PLAIN.items()):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and max(map(int, m[0].split("."))) > 255 or kind == "card" and not (14 <= len(digits) <= 19 and luhn(digits)) or kind == "phone" and not 10 <= len(digits) <= 15:
+                continue
+            out.append((m.start(), order, f"{kind}:{m.start()}:{m.end()}"))
+    return ",".join(x[2] for x in sorted(out))
+
+
+def test_pii_equals_plain_patterns(spark, docs, rows, empty):
+    hostile = ["x@y x@y.z..q@w.e @@a@b.c-d.e.", "1" * 20000 + " a@b.cc", "a" * 40000, "7 " * 9000 + " 4111111111111111", "4111111111111111 " * 1500, "000001.0000255.0256.1 0001.2.3.255 1.2.3.4.5.6.7.8"]
+    more = spark.createDataFrame([(20_000 + i, t) for i, t in enumerate(hostile)], "doc_id long, text string")
+    df = docs.select("doc_id", "text").unionByName(more)
+    texts = rows + [(20_000 + i, t) for i, t in enumerate(hostile)]
+    want = Counter()
+    for key, text in texts:
+        spans = plain_spans(text)
+        kinds = Counter(s.split(":")[0] for s in spans.split(",") if s)
+        want[(key, *(kinds[k] for k in PLAIN), hashlib.sha256(spans.encode()).hexdigest())] += 1
+    found = pii.digests(pii.find_pii(df))
+    assert as_set(found.drop("spans")) == want
+    spans = {r.doc_id: r.spans for r in found.where("doc_id >= 10000").collect()}
+    assert spans[10_009] == "iban:5:32,ssn:38:49,ssn:54:65"
+    assert pii.find_pii(empty).count() == 0
+    plan = found._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_pii_redaction(spark):
+    df = spark.createDataFrame([("mail a@b.cc, ip 1.2.3.4!",), ("nothing",)], "text string")
+    assert [r[0] for r in df.select(pii.redacted(F.col("text"))).collect()] == ["mail <EMAIL>, ip <IP>!", "nothing"]
+
+
+def test_class_lm(docs, rows, empty):
+    known = [(k, t) for k, t in rows if k is not None]
+    tokens = [(k, [*lowered(t), None]) for k, t in rows]
+    held = {k: k is None or zlib.crc32(str(k).encode()) % 5 == 1 for k, _ in rows}
+    c = Counter()
+    for k, words in tokens:
+        if not held[k]:
+            c.update(words)
+    n, v = sum(c.values()), len(c)
+    got = class_lm.score(docs, n_exchange=200, n_local=400, n_classes=12).collect()
+    assert len(got) == len(rows) >= len(known)
+    want = Counter((k, held[k], len(w), sum(c[x] > 0 for x in w), n, round(sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w), 4)) for k, w in tokens)
+    assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in got) == want
+    unseen = [r for r in got if r.held_out and r.n_tokens > 50]
+    assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
+    assert class_lm.score(empty, n_exchange=8, n_local=8, n_classes=2).count() == 0
+
+
+def test_exchange_raises_likelihood():
+    rng = np.random.default_rng(3)
+    kinds = rng.integers(0, 3, 30)
+    text = [0]
+    for _ in range(6000):
+        want = (kinds[text[-1]] + 1) % 3
+        text.append(int(rng.choice(np.flatnonzero(kinds == want))))
+    bigrams = np.zeros((31, 31), int)
+    np.add.at(bigrams, (text[:-1], text[1:]), 1)
+    of = class_lm.exchange(bigrams, 30, 3)
+    assert len({(a, b) for a, b in zip(kinds, of[:30])}) == 3
+
+
+def test_components_against_union_find(spark):
+    rng = np.random.default_rng(5)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(1000, 1060)] + [(None, 3), (5, 5)]
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and a != b:
+            a, b = find(a), find(b)
+            parent[max(a, b)] = min(a, b)
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {x: find(x) for x in parent}
+
+
+def linked(keys, fps, radius):
+    parent = list(range(len(fps)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= radius:
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    least = {}
+    for i, k in enumerate(keys):
+        if k is not None:
+            least[find(i)] = min(least.get(find(i), k), k)
+    return [least.get(find(i)) for i in range(len(fps))]
+
+
+def test_simhash_against_all_pairs(docs, rows, empty):
+    import xxhash
+
+    def plain(text):
+        words = lowered(text)
+        shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+        hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+    fps = [plain(t) for _, t in rows]
+    keys = [k for k, _ in rows]
+    want = Counter(zip(keys, fps, linked(keys, fps, 3)))
+    got = Counter((r.doc_id, r.fp & (1 << 64) - 1, r.component_id) for r in simhash.near_duplicates(docs).collect())
+    assert got == want
+    assert simhash.near_duplicates(empty).count() == 0
+
+
+def test_simhash_large_bucket(monkeypatch):
+    rng = np.random.default_rng(1)
+    base = int(rng.integers(0, 1 << 62))
+    fps = sorted({base ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 64, (300, 2))} | {int(x) for x in rng.integers(0, 1 << 62, 40)})
+    pairs = simhash.links([np.array(fps, np.uint64)], 3)
+    assert len(pairs) < len(fps)
+    keys = list(range(len(fps)))
+    at = {f: i for i, f in enumerate(fps)}
+    parent = keys.copy()
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        assert (a ^ b).bit_count() <= 3
+        a, b = sorted((find(at[a]), find(at[b])))
+        parent[b] = a
+    assert [find(k) for k in keys] == linked(keys, fps, 3)
+
+
+@pytest.mark.parametrize("cell", [2048, 4])
+def test_similar_groups_against_exact(spark, docs, rows, monkeypatch, cell):
+    monkeypatch.setattr(similar_groups, "CELL", cell)
+    sets = [set(similar_groups.shingle_set(t, 5).tolist()) for _, t in rows]
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if both >= 0.8 * (len(a) + len(sets[j]) - both):
+                p, q = sorted((find(i), find(j)))
+                parent[q] = p
+    groups = {}
+    for i, (key, _) in enumerate(rows):
+        groups.setdefault(find(i), []).append(key)
+    want = Counter(min(g, key=lambda k: (k is None, k or 0)) for g in groups.values())
+    kept = similar_groups.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert Counter(r.doc_id for r in kept.collect()) == want
+    assert similar_groups.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_line_crf(spark, docs, empty):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    texts = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = line_crf.train(texts, labels)
+    got = line_crf.score(texts, model).join(labels, "doc_id").where("held_out").toPandas()
+    assert (got.predicted == got.quality).mean() > 0.95
+    odd = line_crf.score(docs, model).collect()
+    assert len(odd) == docs.count() and all(0 <= r.score <= 1 for r in odd)
+    assert all(r.held_out == (r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in odd)
+    assert line_crf.score(empty, model).count() == 0
+    none = line_crf.train(texts, labels.limit(0))
+    assert line_crf.score(empty.unionByName(docs.select("doc_id", "text").limit(2)), none).first().score == pytest.approx(0.5)
+
+
+def test_chain_marginals_against_enumeration():
+    from itertools import product
+
+    rng = np.random.default_rng(2)
+    unary, moves = rng.normal(size=5), rng.normal(size=(2, 2))
+    mass = np.zeros((5, 2))
+    for path in product((0, 1), repeat=5):
+        weight = math.exp(sum(u * y for u, y in zip(unary, path)) + sum(moves[a, b] for a, b in zip(path, path[1:])))
+        for i, y in enumerate(path):
+            mass[i, y] += weight
+    assert line_crf.log_odds(unary, moves) == pytest.approx(np.log(mass[:, 1] / mass[:, 0]))
+    labels, lengths = np.array([1.0]), np.array([5])
+    base, du, dm = line_crf._chain_gradient(unary[None], moves, labels, lengths)
+    step = 1e-6
+    for i in range(5):
+        up = unary.copy()
+        up[i] += step
+        assert (line_crf._chain_gradient(up[None], moves, labels, lengths)[0] - base) / step == pytest.approx(du[0, i], abs=1e-4)
+    for a, b in product((0, 1), repeat=2):
+        up = moves.copy()
+        up[a, b] += step
+        assert (line_crf._chain_gradient(unary[None], up, labels, lengths)[0] - base) / step == pytest.approx(dm[a, b], abs=1e-4)
+
+
+def test_decontamination(spark, docs, rows):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    passage = items[3][1].split()
+    changed = ["filler"] * 30 + [w if i % 9 != 4 else "other" for i, w in enumerate(passage)] + ["filler"] * 30
+    planted = [(30_000, " ".join(changed)), (30_001, items[5][1].upper() + "!!"), (30_002, "seven short words make up this item"), (30_003, "clean text " * 50), (30_004, None)]
+    extra = [(900, "seven short words make up this item"), (901, ""), (902, None), (None, items[7][1]), (900, "another unrelated text of benchmark words that is never met")]
+    df = docs.select("doc_id", "text").unionByName(spark.createDataFrame(planted, "doc_id long, text string")).withColumn("item", F.lit("clash")).withColumn("hash", F.lit(1))
+    bench = spark.createDataFrame(items + extra, "item_id long, text string").withColumn("row", F.lit(1))
+    found = decontaminate.overlaps(df, bench)
+    got = {(r.doc_id, r.item_id) for r in found.collect()}
+    assert {(30_000, items[3][0]), (30_001, items[5][0]), (30_002, 900)} <= got
+    assert not {d for d, _ in got} & {30_003, 30_004, 10_001}
+    plain = [(i, " ".join(lowered(t))) for i, t in items]
+    for key, text in rows:
+        text = " ".join(lowered(text))
+        for i, passage in plain:
+            if len(passage.split()) > 15 and passage in text:
+                assert (key, i) in got
+    kept = {r.doc_id for r in decontaminate.clean(df, bench).collect()}
+    assert kept == {r.doc_id for r in df.select("doc_id").collect()} - {d for d, _ in got}
+    assert decontaminate.overlaps(df, bench.limit(0)).count() == 0 and decontaminate.overlaps(df.limit(0), bench).count() == 0
+
+
+def test_best_run():
+    assert decontaminate.best_run(np.array([1, 0, 0, 1, 1, 1, 0, 1, 1, 1, 1], bool), 2.0) == (3, 11, 7)
+    assert decontaminate.best_run(np.zeros(0, bool), 2.0)[2] == 0

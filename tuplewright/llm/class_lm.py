@@ -33,6 +33,8 @@ from .common import arrow_schema, durable, pick, schema, shuffle_partitions, sma
 
 N_OPEN = 6
 FLUSH = 400_000
+#: Words whose symbol a worker keeps.
+KEPT = 250_000
 _LETTERS = bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256)) + b"'-"
 _DIGITS = b"0123456789"
 
@@ -49,7 +51,7 @@ def open_class(word: bytes) -> int:
 
 
 class Symbols(dict):
-    """word -> symbol; a word not given gets its open class's, kept for up to a million words."""
+    """word -> symbol; a word not given gets its open class's, kept for up to ``KEPT`` words."""
 
     def __init__(self, known: dict[bytes, int], first_open: int):
         super().__init__(known)
@@ -57,7 +59,7 @@ class Symbols(dict):
 
     def __missing__(self, word: bytes) -> int:
         symbol = self.first_open + open_class(word)
-        if len(self) < 1_000_000:
+        if len(self) < KEPT:
             self[word] = symbol
         return symbol
 

@@ -33,6 +33,8 @@ from .common import arrow_schema, durable, pick, schema, small_batches, text_or_
 MASKS = ("11101100101111", "11011010111011", "1111111111")
 #: 2^26 bits: 8 MB in every worker, for any benchmark.
 BITS = 26
+#: Distinct tokens whose hashes a worker keeps.
+KEPT = 250_000
 _SALT = 0x9E3779B97F4A7C15
 
 
@@ -54,7 +56,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Hasher:
-    """Token hashes, kept per distinct token; the table is emptied when it holds a million."""
+    """Token hashes, kept per distinct token; the table is emptied when it holds ``KEPT``."""
 
     def __init__(self):
         self.table: dict[bytes, int] = {}
@@ -64,7 +66,7 @@ class Hasher:
 
         words = _words(text)
         table = self.table
-        if len(table) > 1_000_000:
+        if len(table) > KEPT:
             table.clear()
         for w in {*words}.difference(table):
             table[w] = xxh64_intdigest(_bare(w))

@@ -57,4 +57,44 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (op1_bpe, op2_html_text, op3_bucket_digest, op4_url_filter, op5_pii, op6_class_lm, op7_simhash, op8_line_crf, op9_decontaminate, op10_token_counts)}
 
-ORACLES: dict[str, str] = {}
+# The URL rules by plain SQL.  Links between pages would need recursion; the SQL
+# finds canonical or refresh links of the tables and carries blocks along them.
+_URL_SQL = r"""
+WITH RECURSIVE parts AS (
+  SELECT page_id, url, html,
+         CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), split AS (
+  SELECT page_id, html,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         regexp_extract(rest, '^[^?#]*([?][^#]*)', 1) AS query
+  FROM (SELECT page_id, html, coalesce(rest, '') AS rest FROM parts)
+), judged AS (
+  SELECT *, CASE WHEN host = '' THEN NULL ELSE host || path || query END AS node,
+    CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+         WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+         WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+         WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM split
+), links AS (
+  SELECT node, translate(regexp_extract(target, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+               || regexp_extract(target, '://[^/?#]*([^#]*)', 1) AS other
+  FROM (SELECT node, regexp_extract(html, '<link[^>]*rel="canonical"[^>]*href="([^"]*://[^"]*)"', 1) AS target FROM judged)
+  WHERE target <> '' AND node IS NOT NULL
+), steps AS (SELECT node AS a, other AS b FROM links UNION SELECT other, node FROM links),
+reached AS (
+  SELECT a AS start, a AS node FROM steps
+  UNION SELECT r.start, s.b FROM reached r JOIN steps s ON s.a = r.node
+), tainted AS (
+  SELECT DISTINCT r.start FROM reached r WHERE
+    NOT ((regexp_matches(r.node, '^([^/]*[.])?example[.]net/en/')) OR (regexp_matches(r.node, '^([^/]*[.])?org/fr/')))
+    AND (regexp_matches(r.node, '^([^/?]*[.])?net/') OR regexp_matches(r.node, '^([^/]*[.])?example[.]com/de/'))
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN node IN (SELECT start FROM tainted) THEN 'block' ELSE 'allow' END AS verdict
+FROM judged
+"""
+
+ORACLES: dict[str, str] = {"op4_url_filter": _URL_SQL}

@@ -270,11 +270,8 @@ def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
     marked = docs.withColumn("__row", F.monotonically_increasing_id())
     texts = marked.select(F.col("__row").alias("row"), text_or_empty(F.col(f"`{text_col}`")).alias("text"))
     ids = marked.select(F.col("__row").alias("row"), F.col(f"`{id_col}`").alias("id"))
-    grouped = groups(texts, width, similarity)
+    members = groups(texts, width, similarity).join(ids, "row").select("row", "id", "component")
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row"))
-    # Groups of one need no shuffle of ids: only members of real groups are ranked.
-    sizes = grouped.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
-    members = durable(grouped.join(sizes, "component").join(ids, "row"))
-    leaders = members.groupBy("component").agg(first["row"].alias("row"))
-    dropped = members.select("row").join(leaders.select("row"), "row", "left_anti").withColumnRenamed("row", "__row")
+    leaders = durable(members.groupBy("component").agg(first["row"].alias("leader"), F.count("*").alias("n")).where("n > 1").select("component", "leader"))
+    dropped = members.join(leaders, "component").where("row != leader").select(F.col("row").alias("__row"))
     return marked.join(dropped, "__row", "left_anti").select(*[f"`{c}`" for c in docs.columns])
