@@ -33,7 +33,7 @@ def arrow_schema(struct: T.StructType) -> pa.Schema:
     return to_arrow_schema(struct)
 
 
-def small_batches(spark: SparkSession, size: str = "8m") -> None:
+def small_batches(spark: SparkSession, size: str = "2m") -> None:
     """Arrow batches to Python workers hold about ``size`` bytes, so a batch of
     long texts fits in a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
