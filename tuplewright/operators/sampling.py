@@ -18,18 +18,27 @@ def quota(target_train: int, n_tasks: int, train_share: float = 0.7) -> int:
 def skip_greedy(origins: DataFrame, quota_: int, seed: int = 42) -> DataFrame:
     """Origins in keyed order, each taken if it still fits: task, origin_id.
 
-    The fold needs a task's origins in order, so what it folds is one packed
-    array of (key, size) per task, not the rows themselves.
+    Once an origin of some size doesn't fit, no later one of that size does, so
+    of each size n only the first quota / n in order can be taken.  The fold
+    sees those alone: about quota * ln(quota) a task, whatever the corpus.  Sizes
+    are thinned in 64 slices first, so no task sorts all of a common size.
     """
-    items = origins.groupBy("task").agg(F.array_sort(F.collect_list(F.struct(order_key(seed, F.col("origin_id")).alias("k"), "origin_id", F.col("chunk_count").cast("long").alias("n")))).alias("items"), F.sum("chunk_count").alias("total"))
+    keyed = origins.select("task", "origin_id", F.col("chunk_count").cast("long").alias("n"), order_key(seed, F.col("origin_id")).alias("k"))
+    totals = keyed.groupBy("task").agg(F.sum("n").alias("total"))
+    over = totals.where(F.col("total") > quota_).select("task")
+    whole = keyed.join(F.broadcast(totals.where(F.col("total") <= quota_).select("task")), "task", "left_semi").select("task", "origin_id")
+    some = keyed.join(F.broadcast(over), "task", "left_semi").where(F.col("n") <= quota_).withColumn("slice", F.pmod(F.xxhash64("origin_id"), F.lit(64)))
+    for by in (("task", "n", "slice"), ("task", "n")):
+        some = some.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy("k", "origin_id"))).where(F.col("r") * F.col("n") <= quota_)
+    items = some.groupBy("task").agg(F.array_sort(F.collect_list(F.struct("k", "origin_id", "n"))).alias("items"))
     start = F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<string>").alias("taken"))
 
     def step(acc, x):
         fits = acc["sum"] + x["n"] <= quota_
         return F.struct(F.when(fits, acc["sum"] + x["n"]).otherwise(acc["sum"]).alias("sum"), F.when(fits, F.concat(acc["taken"], F.array(x["origin_id"]))).otherwise(acc["taken"]).alias("taken"))
 
-    taken = F.when(F.col("total") <= quota_, F.col("items.origin_id")).otherwise(F.aggregate("items", start, step, lambda acc: acc["taken"]))
-    return items.select("task", F.explode(taken).alias("origin_id"))
+    folded = items.select("task", F.explode(F.aggregate("items", start, step, lambda acc: acc["taken"])).alias("origin_id"))
+    return whole.unionByName(folded)
 
 
 class _State:
@@ -71,7 +80,8 @@ class _State:
 
 def select_diverse(origins: list[dict], room: int, rel_need: dict, grp_need: dict, rare: set, exposure: dict, caps: dict) -> dict[str, str]:
     """origin -> step (A0 rare carriers, A priority, B coverage, C novelty).
-    ``origins`` are in keyed order; an origin already selected is passed over in every step."""
+    ``origins`` are in keyed order; an origin already selected is passed over in every step.
+    Origins with the same ``shape``, if given, have equal profiles and are scored once."""
     state = _State(room, dict(rel_need), dict(grp_need), caps)
     covered: set[str] = set()
 
@@ -79,27 +89,48 @@ def select_diverse(origins: list[dict], room: int, rel_need: dict, grp_need: dic
         state.add(o, step)
         covered.update(o["rel_labels"])
 
-    for label in sorted({*rel_need, *rare}, key=lambda x: (exposure.get(x, 0), x)):
+    def by_score(some, score):
+        known: dict = {}
+        for o in some:
+            shape = o.get("shape", o["origin_id"])
+            if shape not in known:
+                known[shape] = score(o)
+        return sorted(some, key=lambda o: -known[o.get("shape", o["origin_id"])])
+
+    wanted = sorted({*rel_need, *rare}, key=lambda x: (exposure.get(x, 0), x))
+    # While a label isn't covered none of its carriers is selected: its smallest is the one to try.
+    smallest: dict[str, dict] = {}
+    for o in origins:
+        for label in o["rel_labels"]:
+            if label not in smallest or o["chunk_count"] < smallest[label]["chunk_count"]:
+                smallest[label] = o
+    for label in wanted:
         if state.count >= room:
             break
-        if label in covered:
-            continue
-        fitting = [o for o in origins if label in o["rel_labels"] and o["origin_id"] not in state.selected and state.fits(o)]
-        if fitting:
-            add(min(fitting, key=lambda o: o["chunk_count"]), "A0")
+        if label not in covered and label in smallest and state.fits(smallest[label]):
+            add(smallest[label], "A0")
     for o in origins:
-        if o["priority"] and o["origin_id"] not in state.selected and state.fits(o):
+        if o["priority"] and state.fits(o) and o["origin_id"] not in state.selected:
             add(o, "A")
+    if state.count >= room:
+        return state.selected
     common = [o for o in origins if not o["priority"] and o["chunk_count"] <= room]
-    for o in sorted(common, key=lambda o: -(state.gain(o) - 2 * state.penalty(o) * o["chunk_count"])):
+    spent: set = set()  # needs only fall, so a shape without gain has none later
+    for o in by_score(common, lambda o: state.gain(o) - 2 * state.penalty(o) * o["chunk_count"]):
         if state.count >= room or not (any(state.rel_need.values()) or any(state.grp_need.values())):
             break
-        if o["origin_id"] in state.selected or not state.fits(o) or state.gain(o) <= 0:
+        shape = o.get("shape", o["origin_id"])
+        if shape in spent or o["origin_id"] in state.selected or not state.fits(o):
+            continue
+        if state.gain(o) <= 0:
+            spent.add(shape)
             continue
         add(o, "B")
-    left = [o for o in common if o["origin_id"] not in state.selected]
+    left = [o for o in common if state.fits(o) and o["origin_id"] not in state.selected]
     deferred = []
-    for o in sorted(left, key=lambda o: -(state.novelty(o) - 3 * state.penalty(o) * max(1, o["chunk_count"]))):
+    for o in by_score(left, lambda o: state.novelty(o) - 3 * state.penalty(o) * max(1, o["chunk_count"])):
+        if state.count >= room:
+            break
         if not state.fits(o):
             continue
         over = state.penalty(o)
@@ -125,11 +156,15 @@ def diverse_origins(rows: DataFrame, quota_: int, seed: int = 42, limits: dict |
     rare = routing.dynamic_rare(support, **limits.get("rare", {}))
     marked = routing.priority_origins(origins, rare)
 
-    def groups(col: str, name: str) -> DataFrame:
-        n = rows.groupBy("task", "origin_id", col).agg(F.count("*").alias("n"))
-        return n.groupBy("task", "origin_id").agg(F.map_from_entries(F.collect_list(F.struct(F.col(col), "n"))).alias(name))
+    def groups(side: str, name: str):
+        n = F.filter("cells", lambda c: c["side"] == side)
+        return F.array_sort(F.transform(n, lambda c: F.struct(c["name"].alias("name"), c["n"].alias("n")))).alias(name)
 
-    full = marked.join(groups("subj_group", "subjects"), ["task", "origin_id"]).join(groups("obj_group", "objects"), ["task", "origin_id"])
+    sides = rows.select("task", "origin_id", F.explode(F.array(*[F.struct(F.lit(k).alias("side"), F.col(c).alias("name")) for k, c in (("s", "subj_group"), ("o", "obj_group"))])).alias("g"))
+    cells = sides.groupBy("task", "origin_id", "g").agg(F.count("*").alias("n")).groupBy("task", "origin_id").agg(F.collect_list(F.struct("g.side", "g.name", "n")).alias("cells"))
+    # A profile travels as one text, so the worker reads each distinct profile once.
+    shape = F.to_json(F.struct("chunk_count", "rel_labels", "group_pairs", "priority", groups("s", "subjects"), groups("o", "objects")))
+    packed = marked.join(cells, ["task", "origin_id"]).select("task", "origin_id", order_key(seed, F.col("origin_id")).alias("key"), F.col("chunk_count").cast("long").alias("n"), shape.alias("shape"))
     facts = (
         support.join(routing.relation_floors(support, **limits.get("relation", {})), ["task", "label"], "left")
         .join(rare.withColumn("rare", F.lit(True)), ["task", "label"], "left")
@@ -137,21 +172,28 @@ def diverse_origins(rows: DataFrame, quota_: int, seed: int = 42, limits: dict |
         .agg(F.to_json(F.collect_list(F.struct("label", "exposure", "floor", "rare"))).alias("labels"))
     )
     grp = routing.group_floors(routing.group_support(origins), **limits.get("group", {})).groupBy("task").agg(F.to_json(F.collect_list(F.struct("group_pair", "floor"))).alias("groups"))
-    packed = full.join(F.broadcast(facts.join(grp, "task", "left")), "task").withColumn("key", order_key(seed, F.col("origin_id")))
+    needs = facts.join(grp, "task", "left").select(F.col("task").alias("of_task"), "labels", F.coalesce("groups", F.lit("[]")).alias("groups"))
 
-    def choose(pdf):
+    def choose(pdf, need):
         import json
 
+        names = ["task", "origin_id", "step"]
+        if not len(pdf):
+            return pd.DataFrame({c: pd.Series(dtype=str) for c in names})
         task = pdf["task"].iloc[0]
-        pdf = pdf.sort_values(["key", "origin_id"])
-        labels_ = json.loads(pdf["labels"].iloc[0])
-        groups_ = json.loads(pdf["groups"].iloc[0]) if isinstance(pdf["groups"].iloc[0], str) else []
-        items = [dict(origin_id=r.origin_id, chunk_count=int(r.chunk_count), rel_labels=list(r.rel_labels), group_pairs=list(r.group_pairs), priority=bool(r.priority), subjects=dict(r.subjects), objects=dict(r.objects)) for r in pdf.itertuples()]
-        if sum(o["chunk_count"] for o in items) <= quota_:
-            found = {o["origin_id"]: "all" for o in items}
+        if int(pdf["n"].sum()) <= quota_:
+            found = dict.fromkeys(pdf["origin_id"], "all")
         else:
+            pdf = pdf.sort_values(["key", "origin_id"])
+            codes, shapes = pd.factorize(pdf["shape"])
+            profiles = []
+            for i, text in enumerate(shapes):
+                profile = json.loads(text)
+                profile["subjects"], profile["objects"] = ({g["name"]: g["n"] for g in profile[side]} for side in ("subjects", "objects"))
+                profiles.append(profile | {"shape": i})
+            labels_, groups_ = json.loads(need["labels"].iloc[0]), json.loads(need["groups"].iloc[0])
             found = select_diverse(
-                items,
+                [{**profiles[code], "origin_id": name} for name, code in zip(pdf["origin_id"], codes.tolist())],
                 quota_,
                 {x["label"]: x["floor"] for x in labels_ if x.get("floor") is not None},
                 {x["group_pair"]: x["floor"] for x in groups_},
@@ -159,9 +201,9 @@ def diverse_origins(rows: DataFrame, quota_: int, seed: int = 42, limits: dict |
                 {x["label"]: x["exposure"] for x in labels_},
                 dims.HEAD_CAPS.get(task, {}),
             )
-        return pd.DataFrame({"task": task, "origin_id": list(found), "step": list(found.values())}, columns=["task", "origin_id", "step"])
+        return pd.DataFrame({"task": task, "origin_id": list(found), "step": list(found.values())}, columns=names)
 
-    return packed.groupBy("task").applyInPandas(choose, "task string, origin_id string, step string")
+    return packed.groupBy("task").cogroup(needs.groupBy("of_task")).applyInPandas(choose, "task string, origin_id string, step string")
 
 
 def head_shares(rows: DataFrame, selected: DataFrame) -> DataFrame:
