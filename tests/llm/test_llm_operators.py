@@ -370,6 +370,17 @@ def test_similar_groups_against_exact(spark, docs, rows, monkeypatch, cell):
     assert similar_groups.one_of_each(docs.limit(0)).count() == 0
 
 
+def test_line_features_do_not_depend_on_slabs(monkeypatch):
+    texts = ["", "one", "\n", "A b. c\n\nD|e 1\nx", "\n" * 21, "\n".join(f"Line {i} |." * (i % 3) for i in range(50))]
+    whole = [line_crf.line_features(t) for t in texts]
+    monkeypatch.setattr(line_crf, "SLAB", 7)
+    for text, (features, weights) in zip(texts, whole):
+        some = np.unique(np.linspace(0, text.count("\n"), 5).astype(int))
+        for places in (np.arange(len(weights)), some):
+            got = line_crf.line_features(text, places)
+            assert np.array_equal(got[0], features[places]) and np.array_equal(got[1], weights[places])
+
+
 def test_line_crf(spark, docs, empty):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     texts = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

@@ -36,18 +36,16 @@ OWN = 12
 #: Own features that are also taken from the lines before and after.
 SHARED = (1, 2, 4, 6, 7)
 N_FEATURES = 1 + OWN + 2 * len(SHARED) + 2
+#: Lines whose features are held at once.
+SLAB = 8192
 
 
-def line_features(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Per line: features (bias first), and its weight in code points."""
-    lines = text.split("\n")
+def _own_features(lines: list[str]) -> np.ndarray:
     own = np.zeros((len(lines), OWN))
-    weight = np.ones(len(lines))
     for i, line in enumerate(lines):
         n = len(line)
         if not n:
             continue
-        weight[i] = n
         raw = line.encode("utf-8", "surrogatepass")
         size = len(raw)
         words = raw.split()
@@ -68,11 +66,34 @@ def line_features(text: str) -> tuple[np.ndarray, np.ndarray]:
             line[:1].isupper(),
             raw.isupper(),
         )
-    before = np.vstack([np.zeros((1, OWN)), own[:-1]])[:, SHARED]
-    after = np.vstack([own[1:], np.zeros((1, OWN))])[:, SHARED]
-    ends = np.zeros((len(lines), 2))
-    ends[0, 0] = ends[-1, 1] = 1
-    return np.hstack([np.ones((len(lines), 1)), own, before, after, ends]), weight
+    return own
+
+
+def feature_slabs(lines: list[str]):
+    """The features of the lines (bias first), ``SLAB`` lines at a time: a text
+    of any number of lines takes a fixed amount of memory for its features."""
+    last = len(lines) - 1
+    for at in range(0, len(lines), SLAB):
+        end = min(at + SLAB, len(lines))
+        low, high = max(at - 1, 0), min(end + 1, len(lines))
+        own = _own_features(lines[low:high])
+        padded = np.vstack([np.zeros((int(low == at), OWN)), own, np.zeros((int(high == end), OWN))])
+        ends = np.zeros((end - at, 2))
+        ends[0, 0], ends[-1, 1] = at == 0, end - 1 == last
+        yield np.hstack([np.ones((end - at, 1)), padded[1:-1], padded[:-2][:, SHARED], padded[2:][:, SHARED], ends])
+
+
+def line_weights(lines: list[str]) -> np.ndarray:
+    """Per line its length in code points, 1 if blank."""
+    return np.fromiter((len(line) or 1 for line in lines), float, len(lines))
+
+
+def line_features(text: str, some: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Features and weights of the lines of a text, or of the lines at the ascending places ``some``."""
+    lines = text.split("\n")
+    places = np.arange(len(lines)) if some is None else some
+    parts = [slab[places[(places >= k * SLAB) & (places < (k + 1) * SLAB)] - k * SLAB] for k, slab in enumerate(feature_slabs(lines))]
+    return np.vstack(parts), line_weights(lines)[places]
 
 
 def log_odds(unary: np.ndarray, moves: np.ndarray) -> np.ndarray:
@@ -106,16 +127,20 @@ class Model:
     def __init__(self, mean, scale, weights, moves, curve):
         self.mean, self.scale, self.weights, self.moves, self.curve = mean, scale, weights, moves, curve
 
-    def summary(self, features: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    def unary(self, features: np.ndarray) -> np.ndarray:
+        return ((features - self.mean) / self.scale) @ self.weights
+
+    def summary(self, unary: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Length-weighted mean marginal, its mean log-odds and that of the unaries, both bounded."""
-        unary = ((features - self.mean) / self.scale) @ self.weights
         odds = log_odds(unary, self.moves)
         share = weight / weight.sum()
         marginal = share @ (1 / (1 + np.exp(-np.clip(odds, -30, 30))))
         return np.array([1.0, marginal, share @ np.clip(odds, -8, 8), share @ np.clip(unary, -8, 8), math.log(len(weight)), math.log(weight.sum())])
 
     def score(self, text: str) -> float:
-        z = float(self.summary(*line_features(text)) @ self.curve)
+        lines = text.split("\n")
+        unary = np.concatenate([self.unary(slab) for slab in feature_slabs(lines)])
+        z = float(self.summary(unary, line_weights(lines)) @ self.curve)
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
@@ -180,7 +205,7 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 150, r
         second = 0.999 * second + 0.001 * gradient**2
         theta = theta + 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     model = Model(mean, scale, theta[:N_FEATURES], theta[N_FEATURES:].reshape(2, 2), np.zeros(6))
-    z = np.stack([model.summary(f, w) for f, w, _ in examples])
+    z = np.stack([model.summary(model.unary(f), w) for f, w, _ in examples])
     curve = np.zeros(z.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ curve, -30, 30)))
@@ -199,6 +224,7 @@ def held_out(id_col: Column, parts: int = 4, part: int = 2) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, max_lines: int = 128, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
     spark = docs.sparkSession
+    small_batches(spark)
     known = pick(labels, id=id_col, y=label_col).where(F.col("id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("id")))
     # An id with several labels takes the least; the sample has max_docs ids at most.
     chosen = known.groupBy("id").agg(F.min("y").alias("y")).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(max_docs)
@@ -209,9 +235,9 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, max_lines: i
         to = arrow_schema(out)
         for batch in batches:
             for key, text, y in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "y"))):
-                features, weights = line_features(text)
-                some = np.unique(np.linspace(0, len(weights) - 1, max_lines).astype(int))
-                values = [[f"{key}"], [int(y)], [features[some].astype(np.float32).tobytes()], [weights[some].astype(np.float32).tobytes()]]
+                some = np.unique(np.linspace(0, text.count("\n"), max_lines).astype(int))
+                features, weights = line_features(text, some)
+                values = [[f"{key}"], [int(y)], [features.astype(np.float32).tobytes()], [weights.astype(np.float32).tobytes()]]
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, to)], schema=to)
 
     texts = pick(docs, id=id_col, text=text_col).withColumn("text", text_or_empty("text"))
