@@ -288,3 +288,30 @@ def interleave(main: DataFrame, extra: DataFrame, share: float = 0.1, seed: int
     copies = F.lit(full) + (F.col("_at") < over).cast("int")
     more = placed.withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1))).drop("_at", "_size", "_all").withColumn("origin", F.lit("gold"))
     return base.unionByName(more).withColumn("order_key", order_key(seed, F.concat_ws(":", "origin", "row_key", "copy")))
+
+
+def gold_first(gold: DataFrame, main: DataFrame, low: int = 8, high: int = 12, seed: int = 42, rare=dims.RARE) -> DataFrame:
+    """task, chunk_id, place, origin: examples from ``gold``, then at most one from
+    ``main`` that holds a rare label they lack, if it is the first such chunk in
+    order and still within ``high`` pairs.  Both have ``rel_labels``."""
+    primary = pick_examples(gold, low, high, seed)
+    held = gold.join(F.broadcast(primary), ["task", "chunk_id"]).groupBy("task").agg(F.sum("pair_count").alias("used"), F.flatten(F.collect_list("rel_labels")).alias("have"))
+    lacking = F.array_except(F.array(*[F.lit(x) for x in rare]), F.coalesce("have", F.array().cast("array<string>")))
+    need = main.select("task").distinct().join(held, "task", "left").select("task", F.coalesce("used", F.lit(0)).alias("used"), lacking.alias("lacking"))
+    some = main.where("pair_count > 0").join(F.broadcast(need), "task").where(F.arrays_overlap("rel_labels", "lacking"))
+    first = some.groupBy("task").agg(F.min(F.struct((~F.col("priority")).alias("late"), order_key(seed, F.col("chunk_id")).alias("k"), "chunk_id", "pair_count", "used")).alias("m"))
+    extra = first.where(F.col("m.pair_count") + F.col("m.used") <= high).select("task", F.col("m.chunk_id").alias("chunk_id"), F.lit(high).alias("place"), F.lit("main").alias("origin"))
+    return primary.select("task", "chunk_id", "place", F.lit("gold").alias("origin")).unionByName(extra)
+
+
+def demonstrations(pool: DataFrame, low: int = 8, high: int = 12, seed: int = 42) -> DataFrame:
+    """task, for_origin, place, chunk_id: the examples of a task (for_origin null), and for
+    each origin among them a fresh pick without it."""
+    picked = pick_examples(pool, low, high, seed)
+    shown = picked.join(pool.select("task", "chunk_id", "origin_id"), ["task", "chunk_id"]).select("task", F.col("origin_id").alias("for_origin")).distinct()
+    # At most ``high`` origins a task are shown, so the pool is read once for each of few.
+    pair = F.to_json(F.struct("task", "for_origin"))
+    others = pool.join(F.broadcast(shown), "task").where("origin_id <> for_origin").withColumn("task", pair)
+    read = F.from_json("task", "task string, for_origin string")
+    again = pick_examples(others, low, high, seed).select(read.alias("t"), "place", "chunk_id").select("t.task", "t.for_origin", "place", "chunk_id")
+    return picked.select("task", F.lit(None).cast("string").alias("for_origin"), "place", "chunk_id").unionByName(again)

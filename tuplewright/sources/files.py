@@ -4,6 +4,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -82,3 +83,13 @@ def signature(template: str, length: int = 250) -> str:
     """What tells a prompt template apart: no comment lines, no white space, its beginning."""
     lines = [x for x in template.split("\n") if not x.lstrip().startswith("#")]
     return re.sub(r"\s+", "", "".join(lines))[:length]
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written once in the folder that driver and executors share
+    (``spark.checkpoint.dir``; beside the warehouse where that is unset) and read again."""
+    spark = df.sparkSession
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-checkpoints"
+    path = f"{where.rstrip('/')}/run-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
