@@ -370,6 +370,29 @@ def test_similar_groups_against_exact(spark, docs, rows, monkeypatch, cell):
     assert similar_groups.one_of_each(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("cell,size", [(2048, 16_000_000), (40, 16_000_000), (2048, 20_000)])
+def test_similar_groups_of_a_family_near_the_limit(spark, monkeypatch, cell, size):
+    monkeypatch.setattr(similar_groups, "CELL", cell)
+    monkeypatch.setattr(similar_groups, "SETS", size)
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(100)]
+    texts = []
+    for k in range(300):
+        words = list(base)
+        for at in rng.choice(40, 2, replace=False):
+            words[at] = f"x{k}y{at}"
+        texts.append((k, " ".join(words)))
+    sets = [set(similar_groups.shingle_set(t, 5).tolist()) for _, t in texts]
+    edges = [(i, j) for i in range(300) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    of = list(range(300))
+    for i, j in edges:
+        of = [of[j] if c == of[i] else c for c in of]
+    got = similar_groups.groups(spark.createDataFrame(texts, "row long, text string")).collect()
+    label = {r.row: r.component for r in got}
+    assert all(label[i] == label[j] for i, j in edges)
+    assert len(set(label.values())) == len(set(of))
+
+
 def test_line_features_do_not_depend_on_slabs(monkeypatch):
     texts = ["", "one", "\n", "A b. c\n\nD|e 1\nx", "\n" * 21, "\n".join(f"Line {i} |." * (i % 3) for i in range(50))]
     whole = [line_crf.line_features(t) for t in texts]

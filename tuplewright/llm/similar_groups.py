@@ -16,8 +16,13 @@ of ``simhash``:
    left when all lanes are past the radius, which lies three standard deviations
    beyond the stated similarity.  Of each cell the spanning forest of least
    distances is kept.
-4. The links of the forests are verified on the shingle sets themselves.
-   Connected components of the verified links are the groups.
+4. The links of the forests are verified on the shingle sets themselves; their
+   connected components are groups found so far.
+5. Bits do not order pairs by similarity, so where a link of a bucket's forests
+   failed, every pair within the radius whose ends are not yet in one group is
+   verified on the sets, which are dealt to the bucket for that.  A pair is left
+   out only if verified links join its ends.  The components of all verified
+   links are the groups.
 
 A null or wordless text is the empty set, so such texts form one class; a text
 shorter than a shingle is one shingle.  Repeated rows are members of one class.
@@ -38,6 +43,8 @@ from .simhash import CELL, SLAB
 
 WORDS = 4
 TABLES = 12
+#: Bytes of shingle sets in a cell's part, where sets are dealt to cells.
+SETS = 16_000_000
 _ODD = [((2 * i + 1) * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019 * i) & 0xFFFFFFFFFFFFFFFF | 1 for i in range(1, WORDS + 2 * TABLES + 1)]
 
 
@@ -139,9 +146,8 @@ def forest(apart: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def links(groups: list[np.ndarray], radius: int) -> list[tuple[int, int, int]]:
-    """(group, a, b) of the forests; a group is an (n, WORDS) array."""
-    found = []
+def matrices(groups: list[np.ndarray], radius: int):
+    """(group, distances of all its pairs); a group is an (n, WORDS) array."""
     for low, high in ((2, 2), (3, 8), (9, 64)):
         some = [i for i, g in enumerate(groups) if low <= len(g) <= high]
         for at in range(0, len(some), 2048 // high):
@@ -152,58 +158,135 @@ def links(groups: list[np.ndarray], radius: int) -> list[tuple[int, int, int]]:
             apart = distances(_planes(padded), padded[:, :high].transpose(1, 0, 2), radius)
             for k, i in enumerate(part):
                 n = len(groups[i])
-                own = apart[:n, k, :n]
-                if n == 2:
-                    if own[0, 1] < 255:
-                        found.append((i, 0, 1))
-                else:
-                    found += [(i, a, b) for a, b in forest(own)]
+                yield i, apart[:n, k, :n]
     for i, g in enumerate(groups):
         if len(g) > 64:
             padded = np.zeros((1, -(-len(g) // 64) * 64, WORDS), np.uint64)
             padded[0, : len(g)] = g
             planes = _planes(padded)
-            rows = [distances(planes, g[at : at + 64, None], radius)[:, 0, : len(g)] for at in range(0, len(g), 64)]
-            found += [(i, a, b) for a, b in forest(np.concatenate(rows))]
+            yield i, np.concatenate([distances(planes, g[at : at + 64, None], radius)[:, 0, : len(g)] for at in range(0, len(g), 64)])
+
+
+def links(groups: list[np.ndarray], radius: int) -> list[tuple[int, int, int]]:
+    """(group, a, b) of the forests."""
+    found = []
+    for i, own in matrices(groups, radius):
+        if len(own) == 2:
+            if own[0, 1] < 255:
+                found.append((i, 0, 1))
+        else:
+            found += [(i, a, b) for a, b in forest(own)]
     return found
 
 
+def open_pairs(apart: np.ndarray, labels: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """Pairs within the radius, of different labels, of sizes that allow the similarity."""
+    least, most = np.minimum(sizes[:, None], sizes), np.maximum(sizes[:, None], sizes)
+    return (apart < 255) & (labels[:, None] != labels) & (least >= similarity * most)
+
+
+def joining(apart: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Verified links among the open pairs; a link makes two labels one."""
+    sizes = np.array([len(s) for s in sets])
+    pairs, labels, found = open_pairs(apart, labels, sizes, similarity), labels.copy(), []
+    names, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    ids, mark = np.split(flat, np.cumsum(sizes)[:-1]), np.zeros(len(names), bool)
+    for a in range(len(sets)):
+        others = np.flatnonzero(pairs[a, a + 1 :]) + a + 1
+        if not len(others):
+            continue
+        mark[ids[a]] = True
+        for b in others.tolist():
+            if labels[a] != labels[b]:
+                both = int(np.count_nonzero(mark[ids[b]]))
+                if both >= similarity * (int(sizes[a]) + int(sizes[b]) - both):
+                    labels[labels == labels[b]] = labels[a]
+                    found.append((a, b))
+        mark[ids[a]] = False
+    return found
+
+
+_CELL = ("t", "bucket", "i", "j")
+
+
+def _gathered(batches, *columns: str):
+    """Lists of whole cells (t, bucket, values of each column), of some 20 000
+    rows or 16 MB of the last column."""
+    held, size, last = [], 0, None
+    for batch in batches:
+        for *row, value in zip(*(batch.column(c).to_pylist() for c in (*_CELL, *columns))):
+            if row[:4] != last:
+                if size > 20_000:
+                    yield held
+                    held, size = [], 0
+                held.append((*row[:2], *([] for _ in columns)))
+                last = row[:4]
+            for to, v in zip(held[-1][2:], (*row[4:], value)):
+                to.append(v)
+            size += 1 + len(value) // 800
+    if held:
+        yield held
+
+
+def _fingerprints(cells) -> list[np.ndarray]:
+    return [np.frombuffer(b"".join(c[3]), "<u8").reshape(-1, WORDS) for c in cells]
+
+
+def _numbers(values: list[bytes]) -> np.ndarray:
+    at: dict[bytes, int] = {}
+    return np.array([at.setdefault(v, len(at)) for v in values])
+
+
 def _compare(radius: int, out: T.StructType):
     def run(batches):
         to = arrow_schema(out)
-        held: list[tuple[list[bytes], list[bytes]]] = []
-        size, last = 0, None
+        for cells in _gathered(batches, "cls", "fp"):
+            rows = [(*cells[i][:2], *sorted((cells[i][2][a], cells[i][2][b]))) for i, a, b in links(_fingerprints(cells), radius)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(to)], schema=to)
+
+    return run
 
-        def done():
-            groups = [np.frombuffer(b"".join(fps), "<u8").reshape(-1, WORDS) for _, fps in held]
-            pairs = [sorted((held[i][0][a], held[i][0][b])) for i, a, b in links(groups, radius)]
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], schema=to)
 
-        for batch in batches:
-            for *key, cls, fp in zip(*(batch.column(c).to_pylist() for c in ("t", "bucket", "i", "j", "cls", "fp"))):
-                if key != last:
-                    if size > 20_000:
-                        yield done()
-                        held.clear()
-                        size = 0
-                    held.append(([], []))
-                    last = key
-                held[-1][0].append(cls)
-                held[-1][1].append(fp)
-                size += 1
-        if held:
-            yield done()
+def _left_open(radius: int, similarity: float, out: T.StructType):
+    """t, bucket, cls of the members of open pairs."""
+
+    def run(batches):
+        to = arrow_schema(out)
+        for cells in _gathered(batches, "cls", "fp", "n", "component"):
+            rows = []
+            for i, own in matrices(_fingerprints(cells), radius):
+                some = open_pairs(own, _numbers(cells[i][5]), np.array(cells[i][4]), similarity).any(axis=1)
+                rows += [(*cells[i][:2], cells[i][2][k]) for k in np.flatnonzero(some).tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(to)], schema=to)
+
+    return run
+
+
+def _join_open(radius: int, similarity: float, out: T.StructType):
+    def run(batches):
+        to = arrow_schema(out)
+        for cells in _gathered(batches, "cls", "fp", "component", "shingles"):
+            rows = []
+            for i, own in matrices(_fingerprints(cells), radius):
+                sets = [np.frombuffer(s, np.uint64) for s in cells[i][5]]
+                rows += [(cells[i][2][a], cells[i][2][b]) for a, b in joining(own, _numbers(cells[i][4]), sets, similarity)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(to)], schema=to)
 
     return run
 
 
-def _cells(classes: DataFrame) -> DataFrame:
-    rows = classes.select("cls", "fp", F.posexplode("keys").alias("t", "bucket"))
-    sizes = rows.groupBy("t", "bucket").agg(F.count("*").alias("n")).where("n > 1")
-    met = rows.join(sizes, ["t", "bucket"]).withColumn("parts", F.ceil(F.col("n") / F.lit(CELL)).cast("int"))
+def _cells(rows: DataFrame, *columns: str, size: str | None = None) -> DataFrame:
+    """``rows`` (t, bucket, cls and the columns) of buckets of two and more, dealt
+    out as cells; ``size`` is a column of bytes that bound a part too."""
+    parts = F.ceil(F.col("n_rows") / F.lit(CELL))
+    if size:
+        parts = F.greatest(parts, F.ceil(F.col("n_bytes") / F.lit(SETS)))
+    sizes = rows.groupBy("t", "bucket").agg(F.count("*").alias("n_rows"), F.sum(size or F.lit(0)).alias("n_bytes")).where("n_rows > 1")
+    met = rows.join(sizes.select("t", "bucket", parts.cast("int").alias("parts")), ["t", "bucket"])
     met = met.withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
     others = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: k != F.col("part")))
-    return met.withColumn("other", F.explode(others)).select("t", "bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "cls", "fp")
+    dealt = met.withColumn("other", F.explode(others)).select("t", "bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "cls", *columns)
+    return dealt.repartition(shuffle_partitions(rows.sparkSession), *_CELL).sortWithinPartitions(*_CELL, "cls")
 
 
 def _sets(rows: DataFrame, width: int, out: T.StructType) -> DataFrame:
@@ -237,7 +320,7 @@ def groups(rows: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFram
     if a chain of links of at least ``similarity`` joins them."""
     spark = rows.sparkSession
     small_batches(spark)
-    made = schema(("row", "long"), ("cls", "binary"), ("fp", "binary"), ("keys", T.ArrayType(T.LongType(), False)))
+    made = schema(("row", "long"), ("cls", "binary"), ("fp", "binary"), ("n", "int"), ("keys", T.ArrayType(T.LongType(), False)))
 
     def run(batches):
         from xxhash import xxh128_digest
@@ -248,19 +331,33 @@ def groups(rows: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFram
             keys = [keys_of(s).view(np.int64) for s in sets]
             flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * TABLES), pa.array(flat))
-            cols = [batch.column("row"), pa.array([xxh128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([wide_fingerprint(s).tobytes() for s in sets], pa.binary()), lists.cast(to.field("keys").type)]
+            cols = [batch.column("row"), pa.array([xxh128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([wide_fingerprint(s).tobytes() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int32()), lists.cast(to.field("keys").type)]
             yield pa.RecordBatch.from_arrays(cols, schema=to)
 
     marked = durable(rows.select("row", "text").mapInArrow(run, made))
-    classes = marked.groupBy("cls").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.min("row").alias("row"))
+    classes = marked.groupBy("cls").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.min("row").alias("row"))
     pair = schema(("u", "binary"), ("v", "binary"))
-    dealt = _cells(classes).repartition(shuffle_partitions(spark), "t", "bucket", "i", "j").sortWithinPartitions("t", "bucket", "i", "j", "cls")
-    proposed = durable(dealt.mapInArrow(_compare(radius_for(similarity), pair), pair).distinct())
-    nodes = proposed.select(F.explode(F.array("u", "v")).alias("cls")).distinct().join(classes.select("cls", "row"), "cls")
+    radius = radius_for(similarity)
+    placed = classes.select("cls", "fp", "n", F.posexplode("keys").alias("t", "bucket"))
+    met = schema(("t", "int"), ("bucket", "long"), ("u", "binary"), ("v", "binary"))
+    proposed = durable(_cells(placed, "fp").mapInArrow(_compare(radius, met), met))
+    pairs = proposed.select("u", "v").distinct()
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("cls")).distinct().join(classes.select("cls", "row"), "cls")
     kept = schema(("cls", "binary"), ("shingles", "binary"))
     sets = durable(_sets(rows.join(nodes, "row").select("cls", "text"), width, kept))
-    sided = proposed.join(sets.select(F.col("cls").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("cls").alias("v"), F.col("shingles").alias("b")), "v")
-    found = components(sided.mapInArrow(_verified(similarity, pair), pair))
+    sided = pairs.join(sets.select(F.col("cls").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("cls").alias("v"), F.col("shingles").alias("b")), "v")
+    verified = durable(sided.mapInArrow(_verified(similarity, pair), pair))
+    found = components(verified)
+    # Two classes of different groups within the radius have a failed link between them in the bucket's forests.
+    failed = proposed.join(verified, ["u", "v"], "left_anti").select("t", "bucket").distinct()
+    labelled = placed.join(failed, ["t", "bucket"]).join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    member = schema(("t", "int"), ("bucket", "long"), ("cls", "binary"))
+    left = durable(_cells(labelled, "fp", "n", "component").mapInArrow(_left_open(radius, similarity, member), member).distinct())
+    if not left.isEmpty():
+        held = labelled.join(left, ["t", "bucket", "cls"]).join(sets, "cls").withColumn("size", F.length("shingles"))
+        more = durable(_cells(held, "fp", "component", "shingles", size="size").mapInArrow(_join_open(radius, similarity, pair), pair))
+        if not more.isEmpty():
+            found = components(verified.unionByName(more))
     return marked.select("row", "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left").select("row", "cls", F.coalesce("component", "cls").alias("component"))
 
 
