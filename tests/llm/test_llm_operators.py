@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import hashlib
 import html
+import itertools
 import math
 import re
 import zlib
@@ -465,6 +466,66 @@ def test_decontamination(spark, docs, rows):
     assert decontaminate.overlaps(df, bench.limit(0)).count() == 0 and decontaminate.overlaps(df.limit(0), bench).count() == 0
 
 
+LIMITS = (decontaminate.MASKS, 13, 0.8, 2.0)
+
+
+def hit(agree, n):
+    for mask, place in decontaminate.masks_for(n, *LIMITS):
+        ones = np.flatnonzero(np.frombuffer(mask.encode(), np.uint8) == 49)
+        places = range(n - len(mask) + 1) if place is None else [place]
+        if any(agree[p + ones].all() for p in places):
+            return True
+    return False
+
+
+@pytest.mark.parametrize("n", range(1, 19))
+def test_masks_hit_every_accepted_alignment(n):
+    need = min(13, math.ceil(0.8 * n))
+    for changed in range(n - need + 1):
+        for places in itertools.combinations(range(n), changed):
+            agree = np.ones(n, bool)
+            agree[list(places)] = False
+            if decontaminate.best_run(agree, 2.0)[2] >= need:
+                assert hit(agree, n), (n, places)
+
+
+def test_masks_hit_every_beginning_of_a_long_run():
+    # A best run's prefixes score 0 or more, so its first 13 agreeing tokens have at most 6 others between them.
+    whole = []
+
+    def grow(run, agreed, score):
+        if agreed == 13:
+            whole.append(run)
+            return
+        grow(run + [True], agreed + 1, score + 1)
+        if score >= 2:
+            grow(run + [False], agreed, score - 2)
+
+    grow([], 0, 0)
+    assert len(whole) == 3876
+    for run in whole:
+        assert hit(np.array(run), len(run)), run
+
+
+def test_decontamination_with_regular_substitutions(spark):
+    items = [(n, " ".join(f"t{n}x{i}" for i in range(n))) for n in (5, 8, 15, 16, 20, 33, 59)]
+    docs, want = [], set()
+    for n, text in items:
+        words = text.split()
+        for period in range(3, 10):
+            for first in range(period):
+                copy = [w if i % period != first else "other" for i, w in enumerate(words)]
+                key = len(docs)
+                docs.append((key, " ".join(["filler"] * 5 + copy + ["more"] * 5)))
+                if decontaminate.best_run(np.array([a == b for a, b in zip(words, copy)]), 2.0)[2] >= min(13, math.ceil(0.8 * n)):
+                    want.add((key, n))
+    got = decontaminate.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want
+    # Looser limits than the masks are made for.
+    loose = decontaminate.overlaps(spark.createDataFrame([(1, "a b x c d y e f")], "doc_id long, text string"), spark.createDataFrame([(2, "a b p c d q e f g h i j k l m n")], "item_id long, text string"), min_match=4, penalty=0.5)
+    assert {(r.doc_id, r.item_id, r.n_match) for r in loose.collect()} == {(1, 2, 6)}
+
+
 def test_best_run():
     assert decontaminate.best_run(np.array([1, 0, 0, 1, 1, 1, 0, 1, 1, 1, 1], bool), 2.0) == (3, 11, 7)
     assert decontaminate.best_run(np.zeros(0, bool), 2.0)[2] == 0

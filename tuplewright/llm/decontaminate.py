@@ -13,16 +13,27 @@ side on the hit's diagonal and the best run is scored: +1 a token that agrees,
 best run has at least ``min_match`` agreeing tokens, or covers
 ``min_share`` of a shorter item.
 
+The three masks of five ones hit every alignment that the acceptance rule takes, of
+items of ``SHORT`` and more tokens: up to the 13th agreeing token of a run there
+are 3876 patterns (no prefix scores below 0), and each contains a mask; the
+patterns of 12 to 15 tokens are enumerated too (see the tests).  Shorter items of
+s allowed substitutions are cut into s + 2 pieces, of which any two are a mask at
+their place.  Limits looser than the defaults use runs of ``penalty`` tokens, with
+one of which every best run begins.
+
 Runs of one hash occurring many times in a document yield one hit per
 (document, item, diagonal): diagonals are grouped before they are verified.
 
-Defined results: null or wordless texts on either side match nothing; items
-shorter than the masks are looked for by their whole token sequence; null ids
+Defined results: null or wordless texts on either side match nothing; null ids
 match but are reported as null; repeated rows are reported once each; other
 columns are ignored; no rows give no rows.
 """
 from __future__ import annotations
 
+import math
+from itertools import combinations
+from zlib import crc32
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,7 +41,10 @@ from pyspark.sql import functions as F
 
 from .common import arrow_schema, durable, pick, schema, small_batches, text_or_empty
 
-MASKS = ("11101100101111", "11011010111011", "1111111111")
+MASKS = ("11101001", "1110010001", "101100101")
+#: From so many tokens on the masks are laid at every place of an item.
+SHORT = 12
+MIN_MATCH, MIN_SHARE, PENALTY = 13, 0.8, 2.0
 #: 2^26 bits: 8 MB in every worker, for any benchmark.
 BITS = 26
 #: Distinct tokens whose hashes a worker keeps.
@@ -73,8 +87,33 @@ class Hasher:
         return np.fromiter(map(table.__getitem__, words), np.uint64, len(words))
 
 
-def seeds(tokens: np.ndarray, mask: str, number: int) -> np.ndarray:
+def needed(n: int, min_match: int, min_share: float) -> int:
+    """Agreeing tokens that contaminate by an item of ``n`` tokens."""
+    return max(1, min(min_match, math.ceil(min_share * n)))
+
+
+def masks_for(n: int, masks: tuple[str, ...], min_match: int, min_share: float, penalty: float) -> list[tuple[str, int | None]]:
+    """The masks for items of ``n`` tokens, each with its place (None: every place)."""
+    need = needed(min(n, SHORT), min_match, min_share)
+    if min_match < MIN_MATCH or min_share < MIN_SHARE or penalty < PENALTY:
+        return [("1" * max(1, min(math.ceil(penalty), need)), None)]
+    if n >= SHORT:
+        return [(m, None) for m in masks]
+    spare = n - need
+    if spare < 1:
+        return [("1" * n, 0)]
+    cuts = [n * k // (spare + 2) for k in range(spare + 3)]
+    found = []
+    for two in combinations(range(spare + 2), 2):
+        ones = [any(cuts[k] <= p < cuts[k + 1] for k in two) for p in range(n)]
+        mask = "".join("01"[o] for o in ones)
+        found.append((mask.strip("0"), mask.index("1")))
+    return found
+
+
+def seeds(tokens: np.ndarray, mask: str) -> np.ndarray:
     """The hash of the mask laid at every position it fits."""
+    number = crc32(mask.encode())
     n = len(tokens) - len(mask) + 1
     total = np.zeros(max(n, 0), np.uint64)
     if n <= 0:
@@ -95,21 +134,23 @@ def best_run(agree: np.ndarray, penalty: float) -> tuple[int, int, int]:
     return start, end, int(agree[start:end].sum())
 
 
-def _item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+def _item_seeds(items: DataFrame, rule: tuple) -> DataFrame:
     out = schema(("hash", "long"), ("item", "long"), ("at", "int"))
-    shortest = min(map(len, masks))
 
     def run(batches):
         to, hasher = arrow_schema(out), Hasher()
         for batch in batches:
             for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist()):
                 tokens = hasher.tokens(text or "")
-                if 0 < len(tokens) < shortest:
-                    found = [seeds(tokens, "1" * len(tokens), 100 + len(tokens))]
-                else:
-                    found = [seeds(tokens, m, k) for k, m in enumerate(masks)]
-                hashes = np.concatenate(found).view(np.int64)
-                at = np.concatenate([np.arange(len(f), dtype=np.int32) for f in found])
+                if not len(tokens):
+                    continue
+                found = []
+                for mask, place in masks_for(len(tokens), *rule):
+                    all_of = seeds(tokens, mask)
+                    places = np.arange(len(all_of), dtype=np.int32) if place is None else np.array([place], np.int32)
+                    found.append((all_of[places], places))
+                hashes = np.concatenate([f for f, _ in found]).view(np.int64)
+                at = np.concatenate([p for _, p in found])
                 yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array([item] * len(at), pa.int64()), pa.array(at)], schema=to)
 
     return items.select("item", "text").mapInArrow(run, out)
@@ -126,10 +167,8 @@ def _bitmap(hashed: DataFrame) -> bytes:
     return bytes(whole)
 
 
-def _sift(docs: DataFrame, masks: tuple[str, ...], lengths: list[int], bitmap) -> DataFrame:
+def _sift(docs: DataFrame, masks: list[str], bitmap) -> DataFrame:
     out = schema(("row", "long"), ("hash", "long"), ("at", "int"))
-    shortest = min(map(len, masks))
-    laid = [(m, k) for k, m in enumerate(masks)] + [("1" * n, 100 + n) for n in lengths if n < shortest]
 
     def run(batches):
         to, hasher = arrow_schema(out), Hasher()
@@ -138,8 +177,8 @@ def _sift(docs: DataFrame, masks: tuple[str, ...], lengths: list[int], bitmap) -
             rows, hashes, ats = [], [], []
             for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist()):
                 tokens = hasher.tokens(text or "")
-                for mask, number in laid:
-                    found = seeds(tokens, mask, number)
+                for mask in masks:
+                    found = seeds(tokens, mask)
                     place = found >> np.uint64(64 - BITS)
                     hit = np.flatnonzero(bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
                     if len(hit):
@@ -167,7 +206,7 @@ def _verify(min_match: int, min_share: float, penalty: float, out):
                     if (n, start - end) > (best[2], best[0] - best[1]):
                         best = (low + d + start, low + d + end, n)
                 start, end, n = best
-                if n and n >= min(min_match, np.ceil(min_share * len(test))):
+                if n and n >= needed(len(test), min_match, min_share):
                     for c, v in zip(cols, (row, item, start, end, n, len(test))):
                         c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, to)], schema=to)
@@ -175,18 +214,19 @@ def _verify(min_match: int, min_share: float, penalty: float, out):
     return run
 
 
-def overlaps_of(base: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS, min_match: int = 13, min_share: float = 0.8, penalty: float = 2.0) -> DataFrame:
+def overlaps_of(base: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS, min_match: int = MIN_MATCH, min_share: float = MIN_SHARE, penalty: float = PENALTY) -> DataFrame:
     """``base``: row (unique), text; ``items``: item (unique), text ->
     row, item, start, end, n_match, n_item."""
     spark = base.sparkSession
     small_batches(spark)
-    hashed = durable(_item_seeds(items, masks))
-    shortest = min(map(len, masks))
+    rule = masks, min_match, min_share, penalty
+    hashed = durable(_item_seeds(items, rule))
     words = F.size(F.filter(F.split("text", r"[ \t\n\x0B\f\r]+"), lambda w: w != ""))
-    # At most `shortest` different values.
-    lengths = sorted(r.n for r in items.select(words.alias("n")).where((F.col("n") > 0) & (F.col("n") < shortest)).distinct().collect())
+    # At most `SHORT` different values.
+    lengths = [r.n for r in items.select(F.least(words, F.lit(SHORT)).alias("n")).where("n > 0").distinct().collect()]
+    laid = sorted({mask for n in lengths for mask, _ in masks_for(n, *rule)})
     bitmap = spark.sparkContext.broadcast(_bitmap(hashed))
-    passed = _sift(base, masks, lengths, bitmap)
+    passed = _sift(base, laid, bitmap)
     hits = durable(
         passed.join(hashed.withColumnRenamed("at", "item_at"), "hash")
         .select("row", "item", (F.col("at") - F.col("item_at")).alias("diagonal"))
