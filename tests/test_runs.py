@@ -59,6 +59,15 @@ def test_evaluation_and_merge(spark, docs):
         runs.evaluation(docs, settings, "bee_bee", "no_fewshot")
 
 
+def test_hit_rate_covers_rows_past_the_first_hundred(spark, docs):
+    settings = runs.Settings(TEMPLATES)
+    rows = runs.evaluation(docs, settings, "ner_bee", "no_fewshot").withColumn("row_id", F.col("row_id") + 100)
+    told = rows.select("row_id", F.col("ground_truth").alias("prediction"))
+    rate = runs.merged(told, rows, docs, settings)[1].first()
+    assert rate.tuples > 0 and rate.rate == 1.0
+    assert rate.first_tuples == 0 and rate.first_rate is None
+
+
 def test_no_documents(spark, docs):
     none = docs.limit(0)
     assert runs.training(none, runs.Settings(TEMPLATES)).count() == 0

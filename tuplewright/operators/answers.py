@@ -147,7 +147,7 @@ def hit_rate(parsed: DataFrame, metadata: DataFrame, first: int | None = 100) ->
     some = parsed if first is None else parsed.where(F.col("row_id") < first)
     long = some.select("origin_id", F.explode("tuples.pair_id").alias("pair_id"))
     seen = long.join(metadata.select("origin_id", "pair_id", F.lit(1).alias("hit")), ["origin_id", "pair_id"], "left")
-    return seen.agg(F.count("*").alias("tuples"), F.count("hit").alias("hits")).withColumn("rate", F.col("hits") / F.col("tuples"))
+    return seen.agg(F.count("*").alias("tuples"), F.count("hit").alias("hits")).withColumn("rate", F.try_divide("hits", "tuples"))
 
 
 def without_unsupported(rows: DataFrame) -> DataFrame:

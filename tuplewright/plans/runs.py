@@ -157,7 +157,8 @@ def evaluation(docs: DataFrame, settings: Settings, task: str, mode: str) -> Dat
 
 
 def merged(predictions: DataFrame, rows: DataFrame, docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
-    """Relation tuples with their metadata, and the rate of tuples with metadata.
+    """Relation tuples with their metadata, and the rate of tuples with metadata:
+    of all rows and (``first_``) of the first 100.
 
     ``predictions``: row_id, prediction; one for each of ``rows`` (as from
     ``evaluation``), else this raises.
@@ -166,4 +167,5 @@ def merged(predictions: DataFrame, rows: DataFrame, docs: DataFrame, settings: S
     clean = answers.without_unsupported(both).withColumn("prediction", text.without_think_tags(F.col("prediction"))).withColumn("task", labels.task_name(F.col("task")))
     parsed = answers.parse(clean)
     known = answers.metadata_rows(routing.explode_documents(files.with_ids(docs, "eval", settings.id_prefix)))
-    return answers.merge(parsed, known), answers.hit_rate(parsed, known)
+    first = answers.hit_rate(parsed, known).select(*[F.col(c).alias(f"first_{c}") for c in ("tuples", "hits", "rate")])
+    return answers.merge(parsed, known), answers.hit_rate(parsed, known, None).crossJoin(first)
