@@ -64,7 +64,7 @@ def as_set(df):
     return Counter(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("chunk,overlap", [(65536, 4096), (50, 12), (7, 7)])
+@pytest.mark.parametrize("chunk,overlap", [(32768, 1024), (50, 12), (7, 7)])
 def test_bpe_equals_library_and_round_trips(docs, rows, empty, chunk, overlap):
     encoding = bpe.encoding(RANKS, tokenizers.PATTERN)
     want = Counter()
@@ -73,12 +73,50 @@ def test_bpe_equals_library_and_round_trips(docs, rows, empty, chunk, overlap):
         want[key, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()] += 1
 
     def run(df):
-        return bpe.digests(bpe.decode(bpe.encode(df, RANKS, tokenizers.PATTERN, chunk_chars=chunk, overlap=overlap), RANKS))
+        return bpe.digests(bpe.round_trip(df, RANKS, tokenizers.PATTERN, chunk_chars=chunk, overlap=overlap))
 
     assert as_set(run(docs)) == want
+    two_steps = bpe.decode(bpe.encode(docs, RANKS, tokenizers.PATTERN, chunk_chars=chunk, overlap=overlap), RANKS)
+    assert as_set(bpe.digests(two_steps)) == want
     assert run(empty).count() == 0
 
 
+def test_bpe_at_every_cut_of_white_space(spark):
+    mixed = "a\n\nB  c \n \n\n  d\t\te's we'll 12 34!? \u3000\u2028x\x1c\x1d !!\n\n\n\nZ   " * 3
+    encoding = bpe.encoding(RANKS, tokenizers.PATTERN)
+    texts = [(k, "y" * k + mixed) for k in range(70)] + [(100 + k, " " * k + mixed) for k in range(70)]
+    texts += [(200 + k, "w " * 2000 + "\u0558" * k + "q" * 90 + mixed) for k in range(3)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    for chunk, overlap in ((64, 16), (33, 33), (50, 7), (20, 1)):
+        got = {r.doc_id: r.ids for r in bpe.encode(df, RANKS, tokenizers.PATTERN, chunk_chars=chunk, overlap=overlap).collect()}
+        assert got == {k: encoding.encode_ordinary(t) for k, t in texts}
+
+
+def test_bpe_default_size_with_seams_in_white_space(spark):
+    encoding = bpe.encoding(RANKS, tokenizers.PATTERN)
+    texts = []
+    for size in (32768, 65536):
+        for gap in ("\n\n", " \n  ", "   "):
+            words = ("some words, " * 6000)[: size - len(gap)] + gap
+            texts.append((len(texts), words + "Letters go on " * 4000))
+    texts.append((len(texts), "unbroken" * 20_000))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: (r.ids, bytes(r.decoded)) for r in bpe.round_trip(df, RANKS, tokenizers.PATTERN).collect()}
+    assert got == {k: (encoding.encode_ordinary(t), t.encode()) for k, t in texts}
+
+
+def test_code_points_that_engines_class_otherwise_have_no_category():
+    import regex
+    import tiktoken
+
+    single = {bytes([b]): b for b in range(256)}
+    for kind in (r"\p{L}", r"\p{N}", r"\s"):
+        library, own = tiktoken.Encoding("one", pat_str=kind, mergeable_ranks=single, special_tokens={}), regex.compile(kind)
+        for c in map(chr, [*range(0xD800), *range(0xE000, 0x40000)]):
+            if bpe._plain(c):
+                assert bool(library.encode_ordinary(c)) == bool(own.match(c)), hex(ord(c))
+
+
 def test_token_counts_equal_library(docs, rows, empty, monkeypatch):
     from tokenizers import Tokenizer
 

@@ -1,15 +1,21 @@
 """Byte-level BPE: encoding by overlapping chunks, decoding by concatenation.
 
-Texts up to ``chunk_chars`` code points are one chunk and are encoded where
-they lie, without a shuffle.  A longer text is cut into chunks that overlap;
-each chunk is pre-tokenised on its own, and two neighbours are stitched at the
-first position in their overlap at which both start a pre-token.  The pattern
-has no look-behind and looks at most ``LOOKAHEAD`` characters past a
-match, so from a shared boundary on both chunks match alike: the stitched
-boundaries are those of the whole text.  The pieces between two stitches are
-then encoded in parallel and their ids concatenated in order.  A text with a
-seam at which the chunks never agree (say one word longer than the overlap) is
-encoded whole.
+A text is cut into chunks of ``chunk_chars`` code points that overlap; each chunk
+is pre-tokenised on its own, and two neighbours are stitched at the first
+position in their overlap at which both start a pre-token.  A piece runs from
+stitch to stitch; the pieces are encoded in parallel and their ids concatenated in
+order.  A text of one chunk is one piece and is encoded where it lies,
+without a shuffle.
+
+What a pattern must promise: no look-behind, and a match looks at most one
+character past the run (of white space, or of anything else) in which it ends.
+Then from a shared boundary on both chunks match alike up to the last run of
+the earlier one, and only boundaries up to there are used.  A piece is encoded
+together with what follows it in its chunk, and the ids of what follows are
+taken off again: a match at its end sees the text's own next characters.  A text
+with a seam at which the chunks never agree (say one word longer than the
+overlap, or code points that the engines may class differently) is encoded whole,
+in one task.
 
 Nulls: a null text counts as empty and yields no ids; a null id is kept.
 Repeated rows yield one row each.  An empty table yields an empty one.  Columns
@@ -18,6 +24,7 @@ other than the two named are ignored.
 from __future__ import annotations
 
 import base64
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
@@ -26,10 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_schema, pick, schema, small_batches, text_or_empty
-
-LOOKAHEAD = 4
-
+from .common import arrow_schema, durable, pick, schema, shuffle_partitions, small_batches, text_or_empty
 
 @lru_cache(maxsize=4)
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -61,100 +65,191 @@ def _id_lists(lists: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
+def _bytes_of(names: list[bytes], ids: np.ndarray) -> bytes:
+    """The bytes of the ids, some at a time: no list of all of them is made."""
+    get, raw = names.__getitem__, bytearray()
+    for at in range(0, len(ids), 65_536):
+        raw += b"".join(map(get, ids[at : at + 65_536].tolist()))
+    return bytes(raw)
+
+
+@lru_cache(maxsize=4)
+def _names(path: str) -> list[bytes]:
+    """id -> bytes; empty where the file has no entry."""
+    ranks = read_ranks(path)
+    names = [b""] * (1 + max(ranks.values(), default=-1))
+    for name, rank in ranks.items():
+        names[rank] = name
+    return names
+
+
+class _Coder:
+    """ids, and if asked the bytes they stand for, as the last columns of a batch."""
+
+    def __init__(self, path: str, pattern: str, out: T.StructType):
+        self.encoding, self.to = encoding(path, pattern), arrow_schema(out)
+        self.names = _names(path) if "decoded" in self.to.names else None
+
+    def batch(self, ids: pa.Array, lists: list[np.ndarray]) -> pa.RecordBatch:
+        cols = [ids, _id_lists(lists)]
+        if self.names is not None:
+            cols.append(pa.array([_bytes_of(self.names, x) for x in lists], pa.binary()))
+        return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, self.to)], schema=self.to)
+
+
 def _encoder(path: str, pattern: str, out: T.StructType):
-    """Batches with a ``text`` column -> the same without it, with ``ids``."""
+    """Batches of id and text -> ``out``."""
 
     def run(batches):
-        to, enc = arrow_schema(out), encoding(path, pattern)
+        coder = _Coder(path, pattern, out)
         for batch in batches:
-            keep = [batch.column(f.name) for f in to if f.name != "ids"]
-            texts = batch.column("text").to_pylist()
-            ids = _id_lists([_ids(enc, x or "") for x in texts])
-            yield pa.RecordBatch.from_arrays([*keep, ids.cast(to.field("ids").type)], schema=to)
+            yield coder.batch(batch.column("id"), [_ids(coder.encoding, x or "") for x in batch.column("text").to_pylist()])
 
     return run
 
 
-def _cutter(chunk: int, overlap: int, out: T.StructType):
+def _is_space(c: str) -> bool:
+    return c.isspace() and not "\x1c" <= c <= "\x1f"
+
+
+def _last_run(text: str) -> int:
+    """Where the last run of white space, or of anything else, begins."""
+    kind = _is_space(text[-1:])
+    return next((i + 1 for i in range(len(text) - 1, -1, -1) if _is_space(text[i]) != kind), 0)
+
+
+def _plain(text: str) -> bool:
+    """No code point without a category, which engines of another Unicode version may class otherwise."""
+    return text.isascii() or not any(unicodedata.category(c) == "Cn" for c in text)
+
+
+def boundaries(find, text: str, last: bool, chunk: int, overlap: int) -> tuple[list[int], list[int]]:
+    """Sure starts of pre-tokens of a chunk, in its first ``overlap`` code points and from
+    ``chunk`` on.  ``last``: the text ends with this chunk."""
+    sure = len(text) if last else _last_run(text)
+    starts = [p for p in (m.start() for m in find(text)) if p <= sure and (p <= overlap or p >= chunk)]
+    head, tail = text[: overlap + 2], text[max(chunk - 2, 0) :]
+    return [p for p in starts if p <= overlap] if _plain(head) else [], [p for p in starts if p >= chunk] if _plain(tail) else []
+
+
+def _cutter(pattern: str, chunk: int, overlap: int, out: T.StructType):
     def run(batches):
-        to = arrow_schema(out)
-        for batch in batches:
-            for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist()):
+        to, find = arrow_schema(out), _compiled(pattern).finditer
+
+        def cuts(batch):
+            for row, key, text in zip(*(batch.column(c).to_pylist() for c in ("row", "id", "text"))):
                 n = len(text)
                 for k, start in enumerate(range(0, n, chunk)):
                     end = min(n, start + chunk + overlap)
-                    cols = [[row], [k], [start], [end == n], [text[start:end]]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, to)], schema=to)
+                    part = text[start:end]
+                    head, tail = boundaries(find, part, end == n, chunk, overlap)
+                    yield row, key, k, start, part, [start + p for p in head], [start + p for p in tail]
+
+        for batch in batches:
+            held, size = [], 0
+            for cut in cuts(batch):
+                held.append(cut)
+                size += len(cut[4])
+                if size > 1_000_000:
+                    yield _rows_as(held, to)
+                    held, size = [], 0
+            if held:
+                yield _rows_as(held, to)
 
     return run
 
 
-def _boundaries(pattern: str, chunk: int, overlap: int, out: T.StructType):
-    """Starts of pre-tokens near both ends of a chunk, as positions in the text."""
+def _rows_as(rows: list[tuple], to: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), to)], schema=to)
+
+
+def piece_ids(enc, text: str, begin: int, end: int | None) -> np.ndarray:
+    """The ids of text[begin:end] as part of ``text``; both are starts of pre-tokens."""
+    ids = _ids(enc, text[begin:])
+    return ids if end is None else ids[: len(ids) - len(_ids(enc, text[end:]))]
+
+
+def _piece_encoder(path: str, pattern: str, chunk: int, out: T.StructType):
+    """ids of a piece; of a torn text the plain cut of the text instead."""
 
     def run(batches):
-        to, find = arrow_schema(out), _compiled(pattern).finditer
+        to, enc = arrow_schema(out), encoding(path, pattern)
         for batch in batches:
-            cols: list[list] = [[] for _ in to]
-            for row, k, start, last, text in zip(*(batch.column(c).to_pylist() for c in ("row", "chunk", "start", "last", "text"))):
-                head, tail, end = [], [], len(text) - (0 if last else LOOKAHEAD)
-                for m in find(text):
-                    p = m.start()
-                    if p <= overlap:
-                        head.append(start + p)
-                    if chunk <= p <= end:
-                        tail.append(start + p)
-                for c, v in zip(cols, (row, k, head, tail)):
-                    c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, to)], schema=to)
+            lists, texts = [], []
+            for torn, start, text, a, b in zip(*(batch.column(c).to_pylist() for c in ("torn", "start", "text", "from_at", "to_at"))):
+                lists.append(np.empty(0, np.int32) if torn else piece_ids(enc, text, a - start, None if b is None else b - start))
+                texts.append(text[:chunk] if torn else None)
+            cols = [*(batch.column(c) for c in ("row", "chunk", "id")), _id_lists(lists), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, to)], schema=to)
 
     return run
 
 
-def _piece_encoder(path: str, pattern: str, out: T.StructType):
+def _joiner(path: str, pattern: str, out: T.StructType):
+    """Pieces of a text, in order -> the text's row."""
+
     def run(batches):
-        to, enc = arrow_schema(out), encoding(path, pattern)
+        coder, at, key, ids, texts = _Coder(path, pattern, out), None, None, [], []
+
+        def whole():
+            joined = _ids(coder.encoding, "".join(texts)) if texts else np.concatenate(ids)
+            return coder.batch(pa.array([key], coder.to.field(0).type), [joined])
+
         for batch in batches:
-            rows, chunks, starts, texts, froms, tos = (batch.column(c).to_pylist() for c in ("row", "chunk", "start", "text", "from_at", "to_at"))
-            ids = _id_lists([_ids(enc, t[a - s : None if b is None else b - s]) for t, s, a, b in zip(texts, starts, froms, tos)])
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(chunks, pa.int32()), ids.cast(to.field("ids").type)], schema=to)
+            lists = batch.column("ids")
+            for i, (row, name, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("row", "id", "text")))):
+                if row != at:
+                    if at is not None:
+                        yield whole()
+                    at, key, ids, texts = row, name, [], []
+                ids.append(lists[i].values.to_numpy())
+                if text is not None:
+                    texts.append(text)
+        if at is not None:
+            yield whole()
 
     return run
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chunk_chars: int = 65536, overlap: int = 4096) -> DataFrame:
-    """``id_col``, ``ids``: the ids the whole text has, without special tokens."""
-    assert overlap <= chunk_chars
-    small_batches(docs.sparkSession)
-    ids_type = T.ArrayType(T.IntegerType(), False)
+_IDS = T.ArrayType(T.IntegerType(), False)
+
+
+def _coded(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col: str, chunk_chars: int, overlap: int, *more: tuple[str, str]) -> DataFrame:
+    assert 0 < overlap <= chunk_chars
+    spark = docs.sparkSession
+    small_batches(spark)
     base = pick(docs, id=id_col, text=text_col).withColumn("text", text_or_empty("text"))
-    id_type = base.schema["id"].dataType
-    whole = schema(("id", id_type), ("ids", ids_type))
-    short = base.where(F.length("text") <= chunk_chars).mapInArrow(_encoder(ranks_path, pattern, whole), whole)
-
-    # `row` names a row of this one scan, so equal ids stay apart.
-    long = base.withColumn("row", F.monotonically_increasing_id()).where(F.length("text") > chunk_chars)
-    cut = schema(("row", "long"), ("chunk", "int"), ("start", "long"), ("last", "boolean"), ("text", "string"))
-    chunks = long.select("row", "text").mapInArrow(_cutter(chunk_chars, overlap, cut), cut)
-    ends = schema(("row", "long"), ("chunk", "int"), ("head", T.ArrayType(T.LongType())), ("tail", T.ArrayType(T.LongType())))
+    key = ("id", base.schema["id"].dataType)
+    out = schema(key, ("ids", _IDS), *more)
+    short = base.where(F.length("text") <= chunk_chars).mapInArrow(_encoder(ranks_path, pattern, out), out)
+
+    # `row` names a long text; it is written with the chunks, once.
+    places = T.ArrayType(T.LongType())
+    cut = schema(("row", "long"), key, ("chunk", "int"), ("start", "long"), ("text", "string"), ("head", places), ("tail", places))
+    long = base.where(F.length("text") > chunk_chars).select(F.monotonically_increasing_id().alias("row"), "id", "text")
+    chunks = durable(long.mapInArrow(_cutter(pattern, chunk_chars, overlap, cut), cut))
+    if chunks.isEmpty():
+        return short.select(F.col("id").alias(id_col), *out.names[1:])
     w = Window.partitionBy("row").orderBy("chunk")
     seams = (
-        chunks.mapInArrow(_boundaries(pattern, chunk_chars, overlap, ends), ends)
-        .withColumn("from_at", F.when(F.col("chunk") == 0, F.lit(0).cast("long")).otherwise(F.array_min(F.array_intersect(F.lag("tail").over(w), "head"))))
-        .select("row", "chunk", "from_at", F.lead("from_at").over(w).alias("to_at"))
-    )
-    torn = seams.where(F.col("from_at").isNull()).select("row").distinct()
-    part = schema(("row", "long"), ("chunk", "int"), ("ids", ids_type))
-    pieces = (
-        chunks.join(seams.join(torn, "row", "left_anti"), ["row", "chunk"])
-        .mapInArrow(_piece_encoder(ranks_path, pattern, part), part)
-        .groupBy("row")
-        .agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))
-        .select("row", F.flatten("parts.ids").alias("ids"))
+        chunks.select("row", "chunk", F.when(F.col("chunk") == 0, F.lit(0).cast("long")).otherwise(F.array_min(F.array_intersect(F.lag("tail").over(w), "head"))).alias("from_at"))
+        .withColumn("to_at", F.lead("from_at").over(w))
+        .withColumn("torn", F.max(F.col("from_at").isNull()).over(Window.partitionBy("row")))
     )
-    stitched = long.select("id", "row").join(pieces, "row").select("id", "ids")
-    rest = long.join(torn, "row", "left_semi").select("id", "text").mapInArrow(_encoder(ranks_path, pattern, whole), whole)
-    return short.unionByName(stitched).unionByName(rest).select(F.col("id").alias(id_col), "ids")
+    part = schema(("row", "long"), ("chunk", "int"), key, ("ids", _IDS), ("text", "string"))
+    pieces = chunks.drop("head", "tail").join(seams, ["row", "chunk"]).mapInArrow(_piece_encoder(ranks_path, pattern, chunk_chars, part), part)
+    joined = pieces.repartition(shuffle_partitions(spark), "row").sortWithinPartitions("row", "chunk").mapInArrow(_joiner(ranks_path, pattern, out), out)
+    return short.unionByName(joined).select(F.col("id").alias(id_col), *out.names[1:])
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chunk_chars: int = 32768, overlap: int = 1024) -> DataFrame:
+    """``id_col``, ``ids``: the ids the whole text has, without special tokens."""
+    return _coded(docs, ranks_path, pattern, id_col, text_col, chunk_chars, overlap)
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chunk_chars: int = 32768, overlap: int = 1024) -> DataFrame:
+    """``id_col``, ``ids``, ``decoded``: as ``encode`` and then ``decode``, by one worker a task."""
+    return _coded(docs, ranks_path, pattern, id_col, text_col, chunk_chars, overlap, ("decoded", "binary"))
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -164,11 +259,9 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: s
 
     def run(batches):
         to = arrow_schema(out)
-        table = {v: k for k, v in read_ranks(ranks_path).items()}
-        get = table.__getitem__
+        coded = _names(ranks_path)
         for batch in batches:
-            lists = batch.column(ids_col)
-            raw = pa.array([b"".join(map(get, x.values.to_numpy().tolist())) if x.is_valid else b"" for x in lists], pa.binary())
+            raw = pa.array([_bytes_of(coded, x.values.to_numpy()) if x.is_valid else b"" for x in batch.column(ids_col)], pa.binary())
             yield pa.RecordBatch.from_arrays([*[batch.column(n).cast(to.field(n).type) for n in names], raw.cast(to.field(out_col).type)], schema=to)
 
     return encoded.select(*names).mapInArrow(run, out)

@@ -14,7 +14,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.digests(bpe.decode(bpe.encode(_read(spark, sf_dir, "documents"), ranks, tokenizers.PATTERN), ranks))
+    return bpe.digests(bpe.round_trip(_read(spark, sf_dir, "documents"), ranks, tokenizers.PATTERN))
 
 
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
