@@ -44,8 +44,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the whole text, with the digests of ids and of decoded bytes."""
     ranks = tokenizers.path("byte_bpe_50k.tiktoken")
-    made = bpe.decode(bpe.encode(docs, ranks, tokenizers.PATTERN), ranks)
-    return bpe.digests(made)
+    return bpe.digests(bpe.round_trip(docs, ranks, tokenizers.PATTERN))
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminated), ("pii", redact), ("bpe", encode)]
