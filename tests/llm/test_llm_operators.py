@@ -564,6 +564,43 @@ def test_decontamination_with_regular_substitutions(spark):
     assert {(r.doc_id, r.item_id, r.n_match) for r in loose.collect()} == {(1, 2, 6)}
 
 
+def test_decontamination_equals_every_diagonal(spark):
+    """Documents, items, spans and counts against all alignments of all pairs."""
+    rng = np.random.default_rng(4)
+    words = [f"v{i}" for i in range(40)]
+    items = [(i, " ".join(rng.choice(words, n))) for i, n in enumerate((1, 3, 6, 9, 10, 11, 12, 13, 17, 25, 40))]
+    items += [(20, " ".join(["again and"] * 9)), (21, items[8][1]), (22, "")]
+    docs = []
+    for k in range(150):
+        text = list(rng.choice(words, 30))
+        for _ in range(k % 3):
+            copy = items[int(rng.integers(1, len(items)))][1].split()
+            copy = [w if rng.random() > 0.12 else "other" for w in copy]
+            at = int(rng.integers(0, 30))
+            text[at:at] = copy[int(rng.integers(0, 3)) :]
+        docs.append((k, " ".join(text)))
+    docs += [(200, "Again, AND " * 60), (201, items[8][1]), (201, items[8][1]), (202, ""), (None, items[9][1] + "."), (203, None)]
+    want = Counter()
+    for key, text in docs:
+        doc = [*map(decontaminate._bare, decontaminate._words(text or ""))]
+        for item, passage in items:
+            test = [*map(decontaminate._bare, decontaminate._words(passage))]
+            best = (0, 0, 0)
+            for d in range(-len(test) + 1, len(doc)):
+                low, high = max(0, -d), min(len(test), len(doc) - d)
+                start, end, n = decontaminate.best_run(np.array([doc[d + k] == test[k] for k in range(low, high)], bool), 2.0)
+                if n >= decontaminate.needed(len(test), 13, 0.8) and (n, start - end) > (best[2], best[0] - best[1]):
+                    best = (low + d + start, low + d + end, n)
+            if best[2]:
+                want[(key, item, *best, len(test))] += 1
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("row", F.lit(1)).withColumn("key", F.lit(1)).withColumn("bad_digest", F.lit("x")).withColumn("__row", F.lit(2))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert as_set(decontaminate.overlaps(frame, bench)) == want and len(want) > 60
+    bad = {k for k, *_ in want}
+    kept = decontaminate.clean(frame, bench)
+    assert kept.columns == frame.columns and Counter(r.doc_id for r in kept.collect()) == Counter(k for k, _ in docs if k not in bad)
+
+
 def test_best_run():
     assert decontaminate.best_run(np.array([1, 0, 0, 1, 1, 1, 0, 1, 1, 1, 1], bool), 2.0) == (3, 11, 7)
     assert decontaminate.best_run(np.zeros(0, bool), 2.0)[2] == 0

@@ -21,11 +21,15 @@ s allowed substitutions are cut into s + 2 pieces, of which any two are a mask a
 their place.  Limits looser than the defaults use runs of ``penalty`` tokens, with
 one of which every best run begins.
 
-Runs of one hash occurring many times in a document yield one hit per
-(document, item, diagonal): diagonals are grouped before they are verified.
+Documents are read once: those in which a hash passes the bitmap are written
+with their passing hashes, and only they are looked at again.  Runs of one hash
+occurring many times in a document yield one hit per (document, item, diagonal).
+The hits of a document are verified in order behind its text, so a worker holds one
+document, one item and one diagonal, whatever their number.
 
 Defined results: null or wordless texts on either side match nothing; null ids
-match but are reported as null; repeated rows are reported once each; other
+match but are reported as null; repeated rows are reported once each; of equally
+good alignments the shorter span counts, then that of the least diagonal; other
 columns are ignored; no rows give no rows.
 """
 from __future__ import annotations
@@ -38,8 +42,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import arrow_schema, durable, pick, schema, small_batches, text_or_empty
+from .common import arrow_schema, durable, pick, schema, shuffle_partitions, small_batches, text_or_empty
 
 MASKS = ("11101001", "1110010001", "101100101")
 #: From so many tokens on the masks are laid at every place of an item.
@@ -167,57 +172,87 @@ def _bitmap(hashed: DataFrame) -> bytes:
     return bytes(whole)
 
 
+_HITS = T.ArrayType(T.StructType().add("hash", T.LongType()).add("at", T.IntegerType()), False)
+
+
 def _sift(docs: DataFrame, masks: list[str], bitmap) -> DataFrame:
-    out = schema(("row", "long"), ("hash", "long"), ("at", "int"))
+    """The documents (key, text) in which a hash passes the bitmap, with those hashes and their places."""
+    out = schema(("key", docs.schema["key"].dataType), ("text", "string"), ("hits", _HITS))
 
     def run(batches):
         to, hasher = arrow_schema(out), Hasher()
         bits = np.frombuffer(bitmap.value, np.uint8)
         for batch in batches:
-            rows, hashes, ats = [], [], []
-            for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist()):
-                tokens = hasher.tokens(text or "")
+            kept, hashes, ats, ends = [], [], [], [0]
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                tokens, size = hasher.tokens(text or ""), 0
                 for mask in masks:
                     found = seeds(tokens, mask)
                     place = found >> np.uint64(64 - BITS)
                     hit = np.flatnonzero(bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
                     if len(hit):
-                        rows.append(np.full(len(hit), row, np.int64))
                         hashes.append(found[hit].view(np.int64))
                         ats.append(hit.astype(np.int32))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (rows, hashes, ats)], schema=to)
+                        size += len(hit)
+                if size:
+                    kept.append(i)
+                    ends.append(ends[-1] + size)
+            if kept:
+                rows = batch.take(pa.array(kept))
+                pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(x)) for x in (hashes, ats)], ["hash", "at"])
+                hits = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip((rows.column("key"), rows.column("text"), hits), to)], schema=to)
+
+    return docs.select("key", "text").mapInArrow(run, out)
 
-    return docs.select("row", "text").mapInArrow(run, out)
+
+def _bare_words(text: str) -> np.ndarray:
+    words = np.empty(len(found := [*map(_bare, _words(text))]), object)
+    words[:] = found
+    return words
 
 
 def _verify(min_match: int, min_share: float, penalty: float, out):
+    """Rows by row, item and diagonal, nulls first: a document's text, then for each item
+    its text and then its diagonals -> the overlaps."""
+
     def run(batches):
         to = arrow_schema(out)
+        doc = test = np.empty(0, object)
+        now, best = None, (0, 0, 0)
+        cols: list[list] = [[] for _ in to]
+
+        def close():
+            start, end, n = best
+            if now and n and n >= needed(len(test), min_match, min_share):
+                for c, v in zip(cols, (*now, start, end, n, len(test))):
+                    c.append(v)
+
         for batch in batches:
-            cols: list[list] = [[] for _ in to]
-            for row, item, diagonals, text, passage in zip(*(batch.column(c).to_pylist() for c in ("row", "item", "diagonals", "text", "passage"))):
-                doc, test = [*map(_bare, _words(text or ""))], [*map(_bare, _words(passage or ""))]
-                best = (0, 0, 0)
-                for d in diagonals:
-                    low, high = max(0, -d), min(len(test), len(doc) - d)
-                    agree = np.fromiter((doc[d + k] == test[k] for k in range(low, high)), bool, max(0, high - low))
-                    start, end, n = best_run(agree, penalty)
+            for row, item, diagonal, text in zip(*(batch.column(c).to_pylist() for c in ("row", "item", "diagonal", "text"))):
+                if item is None:
+                    doc = _bare_words(text or "")
+                elif diagonal is None:
+                    close()
+                    test, now, best = _bare_words(text or ""), (row, item), (0, 0, 0)
+                else:
+                    low, high = max(0, -diagonal), min(len(test), len(doc) - diagonal)
+                    start, end, n = best_run((doc[low + diagonal : high + diagonal] == test[low:high]).astype(bool), penalty)
                     if (n, start - end) > (best[2], best[0] - best[1]):
-                        best = (low + d + start, low + d + end, n)
-                start, end, n = best
-                if n and n >= needed(len(test), min_match, min_share):
-                    for c, v in zip(cols, (row, item, start, end, n, len(test))):
-                        c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, to)], schema=to)
+                        best = (low + diagonal + start, low + diagonal + end, n)
+            if len(cols[0]) >= 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, to)], schema=to)
+                cols = [[] for _ in to]
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, to)], schema=to)
 
     return run
 
 
-def overlaps_of(base: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS, min_match: int = MIN_MATCH, min_share: float = MIN_SHARE, penalty: float = PENALTY) -> DataFrame:
-    """``base``: row (unique), text; ``items``: item (unique), text ->
-    row, item, start, end, n_match, n_item."""
-    spark = base.sparkSession
+def overlaps_of(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS, min_match: int = MIN_MATCH, min_share: float = MIN_SHARE, penalty: float = PENALTY) -> DataFrame:
+    """``docs``: key, text; ``items``: item (unique), text ->
+    key, item, start, end, n_match, n_item of every row of ``docs``."""
+    spark = docs.sparkSession
     small_batches(spark)
     rule = masks, min_match, min_share, penalty
     hashed = durable(_item_seeds(items, rule))
@@ -226,16 +261,17 @@ def overlaps_of(base: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASK
     lengths = [r.n for r in items.select(F.least(words, F.lit(SHORT)).alias("n")).where("n > 0").distinct().collect()]
     laid = sorted({mask for n in lengths for mask, _ in masks_for(n, *rule)})
     bitmap = spark.sparkContext.broadcast(_bitmap(hashed))
-    passed = _sift(base, laid, bitmap)
-    hits = durable(
-        passed.join(hashed.withColumnRenamed("at", "item_at"), "hash")
-        .select("row", "item", (F.col("at") - F.col("item_at")).alias("diagonal"))
-        .groupBy("row", "item")
-        .agg(F.array_sort(F.collect_set("diagonal")).alias("diagonals"))
-    )
+    passed = durable(_sift(docs, laid, bitmap).withColumn("row", F.monotonically_increasing_id()))
+    met = passed.select("row", F.inline("hits")).join(hashed.withColumnRenamed("at", "item_at"), "hash")
+    hits = durable(met.select("row", "item", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct())
+    none = F.lit(None)
+    texts = passed.join(hits.select("row").distinct(), "row", "left_semi").select("row", none.cast("long").alias("item"), none.cast("int").alias("diagonal"), "text")
+    passages = hits.select("row", "item").distinct().join(items.select("item", "text"), "item").select("row", "item", none.cast("int").alias("diagonal"), "text")
+    stream = texts.unionByName(passages).unionByName(hits.withColumn("text", none.cast("string")))
     out = schema(("row", "long"), ("item", "long"), ("start", "int"), ("end", "int"), ("n_match", "int"), ("n_item", "int"))
-    met = hits.join(base.select("row", "text"), "row").join(items.select("item", F.col("text").alias("passage")), "item")
-    return met.select("row", "item", "diagonals", "text", "passage").mapInArrow(_verify(min_match, min_share, penalty, out), out)
+    dealt = stream.repartition(shuffle_partitions(spark), "row").sortWithinPartitions("row", F.asc_nulls_first("item"), F.asc_nulls_first("diagonal"))
+    found = dealt.mapInArrow(_verify(min_match, min_share, penalty, out), out)
+    return found.join(passed.select("row", "key"), "row").select("key", *out.names[1:])
 
 
 def _named_items(benchmark: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
@@ -247,16 +283,16 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     """``id_col``, ``item_col``, start, end (tokens of the document, end
     exclusive), n_match, n_item: one row per contaminated row and item.
     ``limits`` are those of ``overlaps_of``."""
-    # `row` and `item` name rows of these scans, so equal or null ids stay apart.
-    base = pick(docs, id=id_col, text=text_col).withColumn("text", text_or_empty("text")).withColumn("row", F.monotonically_increasing_id())
+    # `item` names rows as they were written, so equal or null ids stay apart.
     items = _named_items(benchmark, item_col, item_text_col)
-    found = overlaps_of(base.select("row", "text"), items, **limits)
-    return found.join(base.select("row", "id"), "row").join(items.select("item", "item_id"), "item").select(F.col("id").alias(id_col), F.col("item_id").alias(item_col), "start", "end", "n_match", "n_item")
+    found = overlaps_of(pick(docs, key=id_col, text=text_col).withColumn("text", text_or_empty("text")), items, **limits)
+    return found.join(items.select("item", "item_id"), "item").select(F.col("key").alias(id_col), F.col("item_id").alias(item_col), "start", "end", "n_match", "n_item")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", **limits) -> DataFrame:
-    """The rows of ``docs`` that no benchmark item contaminates."""
-    marked = docs.withColumn("__row", F.monotonically_increasing_id())
-    base = marked.select(F.col("__row").alias("row"), text_or_empty(F.col(f"`{text_col}`")).alias("text"))
-    bad = overlaps_of(base, _named_items(benchmark, item_col, item_text_col), **limits).select(F.col("row").alias("__row")).distinct()
-    return marked.join(bad, "__row", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    """The rows of ``docs`` that no benchmark item contaminates.  Whether one does is a
+    matter of the text alone, so texts are named by their md5."""
+    text = text_or_empty(docs[f"`{text_col}`"])
+    base = docs.select(F.md5(text.cast("binary")).alias("key"), text.alias("text"))
+    bad = overlaps_of(base, _named_items(benchmark, item_col, item_text_col), **limits).select(F.col("key").alias("bad_digest")).distinct()
+    return docs.join(bad, F.md5(text.cast("binary")) == bad["bad_digest"], "left_anti")
