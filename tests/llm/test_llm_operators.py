@@ -437,10 +437,8 @@ def test_line_features_do_not_depend_on_slabs(monkeypatch):
     whole = [line_crf.line_features(t) for t in texts]
     monkeypatch.setattr(line_crf, "SLAB", 7)
     for text, (features, weights) in zip(texts, whole):
-        some = np.unique(np.linspace(0, text.count("\n"), 5).astype(int))
-        for places in (np.arange(len(weights)), some):
-            got = line_crf.line_features(text, places)
-            assert np.array_equal(got[0], features[places]) and np.array_equal(got[1], weights[places])
+        got = line_crf.line_features(text)
+        assert np.array_equal(got[0], features) and np.array_equal(got[1], weights)
 
 
 def test_line_crf(spark, docs, empty):
@@ -457,6 +455,31 @@ def test_line_crf(spark, docs, empty):
     assert line_crf.score(empty.unionByName(docs.select("doc_id", "text").limit(2)), none).first().score == pytest.approx(0.5)
 
 
+def test_line_crf_of_repeated_ids_is_the_same_in_any_order(spark):
+    rows = [(i, f"Good line {i}.\nAnother one follows here." if i % 3 else f"|| {i} $$ ##\nBUY NOW!!!") for i in range(60)]
+    more = [(i, f"other text {i}") for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)] + [(3, 1), (None, 1), (7, None)], "doc_id long, quality int")
+    one, two = (line_crf.train(spark.createDataFrame(x, "doc_id long, text string").repartition(3), labels) for x in (rows + more, more[::-1] + rows[::-1]))
+    assert np.array_equal(one.weights, two.weights) and np.array_equal(one.curve, two.curve)
+
+
+def test_line_crf_score_is_the_calibrated_marginal(monkeypatch):
+    monkeypatch.setattr(line_crf, "RUN", 4)
+    good = ["A plain line of text.\nAnd one more, as plain.", "Words go on.\n\nThey end here.\nx\ny\nz.", "One line only, of some length."]
+    bad = ["|| $$ 12\nBUY BUY BUY", "@@@ ### 1 2 3\n\n==\nA|B|C", "NOW NOW NOW NOW"]
+    model = line_crf.fit([(*line_crf.line_features(t), y) for y, some in ((1, good), (0, bad)) for t in some])
+    for text in [*good, *bad, "", "A plain line.\n|| $$ 12\n\nBUY"]:
+        features, weights = line_crf.line_features(text)
+        unary, n = model.unary(features), len(weights)
+        mass, total = np.zeros(n), 0.0
+        for path in itertools.product((0, 1), repeat=n):
+            weight = math.exp(sum(u * y for u, y in zip(unary, path)) + sum(model.moves[a, b] for a, b in zip(path, path[1:])))
+            total += weight
+            mass += weight * np.array(path)
+        marginal = (mass / total) @ weights / weights.sum()
+        assert model.score(text) == pytest.approx(1 / (1 + math.exp(-(model.curve[0] + model.curve[1] * marginal))))
+
+
 def test_chain_marginals_against_enumeration():
     from itertools import product
 

@@ -3,19 +3,21 @@
 Every line is labelled good or bad given features of its own and of the
 lines before and after; transitions between labels are weights as well.  The
 marginals of forward-backward, weighted by line length, give the document's raw
-quality, and a logistic curve fitted on the training documents turns that (with
-the length-weighted share of bad lines' log-odds) into the score.
+quality, a number from 0 to 1; a logistic curve of that number alone, fitted on the
+training documents, is the score.
 
-Training uses at most ``max_docs`` labelled documents, the first by a hash of
-their id, and of each at most ``max_lines`` lines, evenly spaced: a bounded
-sample whatever the size of the corpus.  Every line of a document carries
-the document's label.  Scoring reads whole texts.
+Training uses all lines of at most ``max_docs`` labelled documents, the first by a
+hash of their id: a bounded sample whatever the size of the corpus.  Every line of
+a document carries the document's label.  A chain of more than ``RUN`` lines
+trains as runs of so many successive lines, with the features of the whole text.
+Scoring reads whole texts.
 
 Defined results: a null or empty text is one empty line; blank lines count as
 lines of length 0, with a weight of one code point; null labels don't train;
 with fewer than two labels in the sample every score is the sample's mean label
 (0.5 without a sample).  Null ids are scored, not trained on; repeated rows are
-kept; other columns are ignored.
+kept; other columns are ignored.  Of several texts of one id the least trains,
+and of several labels the least counts.
 """
 from __future__ import annotations
 
@@ -38,6 +40,8 @@ SHARED = (1, 2, 4, 6, 7)
 N_FEATURES = 1 + OWN + 2 * len(SHARED) + 2
 #: Lines whose features are held at once.
 SLAB = 8192
+#: Successive lines of one training chain.
+RUN = 1024
 
 
 def _own_features(lines: list[str]) -> np.ndarray:
@@ -88,12 +92,10 @@ def line_weights(lines: list[str]) -> np.ndarray:
     return np.fromiter((len(line) or 1 for line in lines), float, len(lines))
 
 
-def line_features(text: str, some: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Features and weights of the lines of a text, or of the lines at the ascending places ``some``."""
+def line_features(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Features and weights of all lines of a text."""
     lines = text.split("\n")
-    places = np.arange(len(lines)) if some is None else some
-    parts = [slab[places[(places >= k * SLAB) & (places < (k + 1) * SLAB)] - k * SLAB] for k, slab in enumerate(feature_slabs(lines))]
-    return np.vstack(parts), line_weights(lines)[places]
+    return np.vstack(list(feature_slabs(lines))), line_weights(lines)
 
 
 def log_odds(unary: np.ndarray, moves: np.ndarray) -> np.ndarray:
@@ -130,17 +132,15 @@ class Model:
     def unary(self, features: np.ndarray) -> np.ndarray:
         return ((features - self.mean) / self.scale) @ self.weights
 
-    def summary(self, unary: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """Length-weighted mean marginal, its mean log-odds and that of the unaries, both bounded."""
-        odds = log_odds(unary, self.moves)
-        share = weight / weight.sum()
-        marginal = share @ (1 / (1 + np.exp(-np.clip(odds, -30, 30))))
-        return np.array([1.0, marginal, share @ np.clip(odds, -8, 8), share @ np.clip(unary, -8, 8), math.log(len(weight)), math.log(weight.sum())])
+    def marginal(self, unary: np.ndarray, weight: np.ndarray) -> float:
+        """The mean marginal of a good line, weighted by length."""
+        odds = np.clip(log_odds(unary, self.moves), -30, 30)
+        return float(weight @ (1 / (1 + np.exp(-odds))) / weight.sum())
 
     def score(self, text: str) -> float:
         lines = text.split("\n")
         unary = np.concatenate([self.unary(slab) for slab in feature_slabs(lines)])
-        z = float(self.summary(unary, line_weights(lines)) @ self.curve)
+        z = self.curve[0] + self.curve[1] * self.marginal(unary, line_weights(lines))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
@@ -173,24 +173,25 @@ def _chain_gradient(unary, moves, labels, lengths):
 
 def fit(examples: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 150, ridge: float = 1.0) -> Model:
     """Adam on the chain likelihood, in order of length; then the curve by Newton."""
-    neutral = Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), np.zeros((2, 2)), np.zeros(6))
+    neutral = Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), np.zeros((2, 2)), np.zeros(2))
     labels = np.array([y for *_, y in examples], float)
     if not len(examples) or labels.min() == labels.max():
         mean = min(max(labels.mean(), 1e-6), 1 - 1e-6) if len(examples) else 0.5
         neutral.curve[0] = math.log(mean / (1 - mean))
         return neutral
     stacked = np.vstack([f for f, *_ in examples])
-    mean, scale = stacked.mean(axis=0), stacked.std(axis=0)
+    mean, scale = stacked.mean(axis=0, dtype=float), stacked.std(axis=0, dtype=float)
     mean[0], scale[scale < 1e-9] = 0.0, 1.0
-    lengths = np.array([len(f) for f, *_ in examples])
+    chains = [(f[at : at + RUN], y) for f, _, y in examples for at in range(0, len(f), RUN)]
+    lengths, of = np.array([len(f) for f, _ in chains]), np.array([y for _, y in chains], float)
     order = np.argsort(lengths, kind="stable")
     groups = []
     for part in np.array_split(order, max(1, len(order) // 256)):
         longest = lengths[part].max()
         x = np.zeros((len(part), longest, N_FEATURES))
         for i, k in enumerate(part):
-            x[i, : lengths[k]] = (examples[k][0] - mean) / scale
-        groups.append((x, labels[part], lengths[part]))
+            x[i, : lengths[k]] = (chains[k][0] - mean) / scale
+        groups.append((x, of[part], lengths[part]))
     theta = np.zeros(N_FEATURES + 4)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
@@ -204,8 +205,8 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 150, r
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         theta = theta + 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    model = Model(mean, scale, theta[:N_FEATURES], theta[N_FEATURES:].reshape(2, 2), np.zeros(6))
-    z = np.stack([model.summary(model.unary(f), w) for f, w, _ in examples])
+    model = Model(mean, scale, theta[:N_FEATURES], theta[N_FEATURES:].reshape(2, 2), np.zeros(2))
+    z = np.array([[1.0, model.marginal(model.unary(f), w)] for f, w, _ in examples])
     curve = np.zeros(z.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ curve, -30, 30)))
@@ -222,11 +223,10 @@ def held_out(id_col: Column, parts: int = 4, part: int = 2) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % parts == part, F.lit(True))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, max_lines: int = 128, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
+def train(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
     spark = docs.sparkSession
     small_batches(spark)
     known = pick(labels, id=id_col, y=label_col).where(F.col("id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("id")))
-    # An id with several labels takes the least; the sample has max_docs ids at most.
     chosen = known.groupBy("id").agg(F.min("y").alias("y")).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(max_docs)
     chosen = spark.createDataFrame(chosen.collect(), schema(("id", known.schema["id"].dataType), ("y", known.schema["y"].dataType)))
     out = schema(("key", "string"), ("y", "int"), ("features", "binary"), ("weights", "binary"))
@@ -235,14 +235,14 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, max_lines: i
         to = arrow_schema(out)
         for batch in batches:
             for key, text, y in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "y"))):
-                some = np.unique(np.linspace(0, text.count("\n"), max_lines).astype(int))
-                features, weights = line_features(text, some)
+                features, weights = line_features(text)
                 values = [[f"{key}"], [int(y)], [features.astype(np.float32).tobytes()], [weights.astype(np.float32).tobytes()]]
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, to)], schema=to)
 
     texts = pick(docs, id=id_col, text=text_col).withColumn("text", text_or_empty("text"))
-    rows = texts.join(F.broadcast(chosen), "id").mapInArrow(run, out).dropDuplicates(["key"]).collect()
-    examples = [(np.frombuffer(r.features, np.float32).reshape(-1, N_FEATURES).astype(float), np.frombuffer(r.weights, np.float32).astype(float), r.y) for r in sorted(rows, key=lambda r: r.key)]
+    # At most `max_docs` rows on the broadcast side, and as many groups.
+    rows = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text"), F.min("y").alias("y")).mapInArrow(run, out).collect()
+    examples = [(np.frombuffer(r.features, np.float32).reshape(-1, N_FEATURES), np.frombuffer(r.weights, np.float32).astype(float), r.y) for r in sorted(rows, key=lambda r: r.key)]
     return fit(examples)
 
 
