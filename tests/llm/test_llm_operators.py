@@ -282,13 +282,13 @@ def test_class_lm(docs, rows, empty):
         if not held[k]:
             c.update(words)
     n, v = sum(c.values()), len(c)
-    got = class_lm.score(docs, n_exchange=200, n_local=400, n_classes=12).collect()
+    got = class_lm.score(docs, n_seeds=200, n_local=400, n_classes=12).collect()
     assert len(got) == len(rows) >= len(known)
     want = Counter((k, held[k], len(w), sum(c[x] > 0 for x in w), n, round(sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w), 4)) for k, w in tokens)
     assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in got) == want
     unseen = [r for r in got if r.held_out and r.n_tokens > 50]
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
-    assert class_lm.score(empty, n_exchange=8, n_local=8, n_classes=2).count() == 0
+    assert class_lm.score(empty, n_seeds=8, n_local=8, n_classes=2).count() == 0
 
 
 def test_exchange_raises_likelihood():

@@ -39,25 +39,39 @@ def small_batches(spark: SparkSession, size: str = "2m") -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with files that survive the loss of any executor.
-
-    Files go to ``spark.checkpoint.dir``; the setting of the session wins, and
-    only where none is set (tests) a folder beside the warehouse is used.
-    """
-    spark = df.sparkSession
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.  Only
+    a session without executors of its own may leave it unset (tests)."""
     where = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
+    if not where and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir is not set")
+    return (where or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-checkpoints").rstrip("/")
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut lineage with files in the shared folder, which survive the loss of any executor."""
+    sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(where or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-checkpoints")
+        sc.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that driver and executors share."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    where = where or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-checkpoints"
-    return f"{where.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> tuple[str, DataFrame]:
+    """``df`` written to a fresh path of the shared folder, and read from there."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return path, df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what ``stored`` wrote."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def let(value: Column, body) -> Column:
