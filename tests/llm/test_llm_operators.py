@@ -162,9 +162,62 @@ def test_html_text_leaves_out_what_is_not_article(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
-def test_tree_learns_its_table():
-    tree = html_text.train()
-    assert sum(html_text.is_main(tree, r[:-1]) != bool(r[-1]) for r in html_text.LABELLED) <= 3
+def test_tree_learns_its_pages_and_differs_from_the_tag_rule():
+    tree, rows = html_text.train(), html_text.labelled()
+    assert sum(html_text.is_main(tree, r[:-1]) != bool(r[-1]) for r in rows) <= 3
+    # In the article, in no container of another kind: what tags and names alone would say.
+    by_tags = [bool(r[6] and not r[7] and r[8] < 1) for r in rows]
+    assert sum(t != html_text.is_main(tree, r[:-1]) for t, r in zip(by_tags, rows)) >= 40
+
+    def used(t):
+        return set() if isinstance(t, bool) else {t[0]} | used(t[2]) | used(t[3])
+
+    # Own link density and the words of neighbours decide some.
+    assert 1 in used(tree) and used(tree) & {2, 3, 4, 5}
+
+
+LONG = "quite some words of text that go on and on and end here, after all of them"
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f"<article class='post comments-open'><h1>Head</h1><p>{LONG}</p></article>", f"Head\n{LONG}"),
+        (f"<div class='layout has-sidebar'><h1>Head</h1><p>{LONG}</p><div class=sidebar><p>Side words</p></div></div>", f"Head\n{LONG}"),
+        (f"<div class='sidebar-layout'><main><p>{LONG}</p></main><aside>x y z</aside></div>", LONG),
+        (f"<form id=all><h1>Head</h1><p>{LONG}</p></form>", f"Head\n{LONG}"),
+        (f"<a href=/two>Two</a><p>{LONG}</p>", LONG),
+        (f"<ul><li><a href=/1>One</a><li><a href=/2>Two</a></ul><p>{LONG}</p><p>End.</p>", f"{LONG}\nEnd."),
+        (f"<article><p>{LONG}</p></article><div class=comments><p>{LONG} {LONG} {LONG}</p></div>", LONG),
+        (f"<article><p>{LONG}</p><ul><li><a>One more thing</a><li><a>And another</a><li><a>A third</a></ul></article>", LONG),
+        (f"<header><h1>Site</h1></header><article><header><h1>Title</h1></header><p>{LONG}</p></article>", f"Title\n{LONG}"),
+        ("<div>" * 5000 + LONG + "</div>" * 5000, LONG),
+        (f"<div><b>{'<i></em></ul>' * 20000}{LONG}", LONG),
+        (f"<p>{LONG}</p><script>" + "<p>" * 1000, LONG),
+        ("<p>" + "many words " * 50_000, ("many words " * 50_000).strip()),
+    ],
+)
+def test_html_text_of_odd_pages(page, text):
+    assert html_text.main_text(page, html_text.train()) == text
+
+
+def test_html_text_takes_time_in_proportion():
+    import time
+
+    for unit in ('<a href="x', "<a '", "<i></em>", "<ul></li></ol>", "<div><p></span>", "<", "<!x", "&amp"):
+        times = []
+        for n in (10_000, 80_000):
+            page = "<p>text</p>" + unit * n
+            began = time.process_time()
+            html_text.main_text(page, html_text.train())
+            times.append(time.process_time() - began)
+        assert times[1] < 30 * times[0] + 0.2, unit
+
+
+def test_html_text_of_repeated_rows(spark):
+    rows = [(1, "u", f"<article>{LONG}")] * 3 + [(None, None, f"<article>{LONG}")] * 2 + [(2, "u", None)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert as_set(got) == Counter({(1, "u", LONG, len(LONG)): 3, (None, None, LONG, len(LONG)): 2, (2, "u", "", 0): 1})
 
 
 def test_bucket_digest_pairs(docs, rows, empty):
