@@ -1,9 +1,11 @@
 """Operators on rows that show each rule."""
+import hashlib
 import json
 import math
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -193,32 +195,146 @@ def test_skip_greedy_is_not_a_running_sum(spark):
     assert {r.origin_id for r in sampling.skip_greedy(origins, 5).collect()} == want
 
 
-@settings(max_examples=40, deadline=None)
-@given(st.integers(0, 10_000), st.integers(1, 60))
-def test_diverse_selection_keeps_its_promises(seed, room):
-    rng = random.Random(seed)
+def taken(origins, *rules):
+    """origin -> step, from dicts whose groups are name -> pairs."""
+    listed = [dict(o, rel_labels=sorted(o["rel_labels"]), group_pairs=sorted(o["group_pairs"]), **{k: sorted(g for g, n in o[k].items() for _ in range(n)) for k in ("subjects", "objects")}) for o in origins]
+    kinds = dict(chunk_count=pa.int64(), priority=pa.bool_(), **{k: pa.list_(pa.string()) for k in ("rel_labels", "group_pairs", "subjects", "objects")})
+    table = pa.table({k: pa.array([o[k] for o in listed], t) for k, t in kinds.items()})
+    return {origins[i]["origin_id"]: step for i, step in sampling.select_diverse(table, *rules)}
+
+
+def walked(origins, room, rel_need, grp_need, rare, exposure, caps):
+    """The rules one origin at a time, with counters."""
+    rel_need, grp_need, count, chosen = Counter(rel_need), Counter(grp_need), 0, {}
+    labels_taken, subjects, objects = Counter(), Counter(), Counter()
+
+    def gain(o):
+        return sum(min(rel_need[x], o["chunk_count"]) for x in o["rel_labels"]) + sum(min(grp_need[x], o["chunk_count"]) for x in o["group_pairs"])
+
+    def over(o):
+        n = o["chunk_count"]
+        return sum(max(0.0, (labels_taken[x] + (n if x in o["rel_labels"] else 0)) / (count + n) - cap) for x, cap in caps.items())
+
+    def new(o):
+        return sum(1 / math.sqrt(1 + subjects[g]) for g in sorted(o["subjects"])) + sum(1 / math.sqrt(1 + objects[g]) for g in sorted(o["objects"]))
+
+    def take(o, step):
+        nonlocal count
+        chosen[o["origin_id"]] = step
+        count += o["chunk_count"]
+        for x in o["rel_labels"]:
+            labels_taken[x] += o["chunk_count"]
+            rel_need[x] = max(0, rel_need[x] - o["chunk_count"])
+        for x in o["group_pairs"]:
+            grp_need[x] = max(0, grp_need[x] - o["chunk_count"])
+        subjects.update(o["subjects"])
+        objects.update(o["objects"])
+
+    def free(o):
+        return o["origin_id"] not in chosen and count + o["chunk_count"] <= room
+
+    for label in sorted({*rel_need, *rare}, key=lambda x: (exposure.get(x, 0), x)):
+        if not any(label in o["rel_labels"] for o in origins if o["origin_id"] in chosen):
+            for o in sorted((o for o in origins if label in o["rel_labels"] and free(o)), key=lambda o: o["chunk_count"])[:1]:
+                take(o, "A0")
+    for o in origins:
+        if o["priority"] and free(o):
+            take(o, "A")
+    common = [o for o in origins if not o["priority"]]
+    for o, _ in sorted([(o, gain(o) - 2 * over(o) * count) for o in common], key=lambda x: -x[1]):
+        if free(o) and gain(o) > 0:
+            take(o, "B")
+            if not any(rel_need.values()) and not any(grp_need.values()):
+                break
+    later = []
+    for o, _ in sorted([(o, new(o) - 3 * over(o) * max(1, count)) for o in common if free(o)], key=lambda x: -x[1]):
+        if free(o):
+            if over(o) <= 0.005:
+                take(o, "C")
+            elif over(o) <= 0.01:
+                later.append(o)
+    for o in later:
+        if free(o) and over(o) <= 0.01:
+            take(o, "C")
+    return chosen
+
+
+def random_origins(rng, n):
     names = ["r0", "r1", "r2", "r3"]
-    origins = []
-    for i in range(25):
+    for i in range(n):
         held = rng.sample(names, rng.randint(1, 3))
         groups = {g: rng.randint(1, 3) for g in rng.sample("ABC", rng.randint(1, 2))}
-        origins.append(dict(origin_id=f"o{i}", chunk_count=rng.randint(1, 6), rel_labels=held, group_pairs=[f"{g}>X" for g in groups], priority="r3" in held, subjects=groups, objects={"X": 1}))
-    chosen = sampling.select_diverse(origins, room, {"r0": 5, "r3": 3}, {"A>X": 4}, {"r3"}, {"r0": 50, "r1": 40, "r2": 30, "r3": 5}, {"r1": 0.3})
+        yield dict(origin_id=f"o{i}", chunk_count=rng.randint(1, 6), rel_labels=held, group_pairs=[f"{g}>X" for g in groups], priority="r3" in held and rng.random() < 0.6, subjects=groups, objects={"X": 1})
+
+
+def test_diverse_selection_equals_a_plain_walk():
+    for seed in range(400):
+        rng = random.Random(seed)
+        origins = list(random_origins(rng, rng.choice((3, 25, 120))))
+        caps = {"r1": rng.choice((0.02, 0.2, 0.3)), "r0": rng.choice((0.1, 0.4))} if seed % 5 else {}
+        rules = rng.choice((1, 20, 90, 250)), {"r0": 5, "r3": 3, "r2": rng.randint(0, 60)}, {"A>X": rng.randint(0, 40), "C>X": 9}, {"r3"}, {"r0": 50, "r1": 40, "r2": 30, "r3": 5}, caps
+        assert taken(origins, *rules) == walked(origins, *rules), seed
+
+
+def test_diverse_selection_of_nothing():
+    assert taken([], 5, {"r": 1}, {}, {"q"}, {}, {"r": 0.1}) == {}
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 60))
+def test_diverse_selection_keeps_its_promises(seed, room):
+    origins = [o | {"priority": "r3" in o["rel_labels"]} for o in random_origins(random.Random(seed), 25)]
+    chosen = taken(origins, room, {"r0": 5, "r3": 3}, {"A>X": 4}, {"r3"}, {"r0": 50, "r1": 40, "r2": 30, "r3": 5}, {"r1": 0.3})
     size = {o["origin_id"]: o["chunk_count"] for o in origins}
-    assert sum(size[x] for x in chosen) <= room
-    assert all(step in ("A0", "A", "B", "C") for step in chosen.values())
+    total = sum(size[x] for x in chosen)
+    assert total <= room and all(step in ("A0", "A", "B", "C") for step in chosen.values())
     carriers = [o for o in origins if "r3" in o["rel_labels"]]
     if carriers and min(o["chunk_count"] for o in carriers) <= room:
         assert any(o["origin_id"] in chosen for o in carriers)
-    taken = sum(size[x] for x in chosen)
-    assert not any(o["priority"] and o["origin_id"] not in chosen and o["chunk_count"] <= room - taken for o in origins)
+    assert not any(o["priority"] and o["origin_id"] not in chosen and o["chunk_count"] <= room - total for o in origins)
 
 
 def test_coverage_pass_counts_an_origin_once():
     one = dict(origin_id="a", chunk_count=4, rel_labels=["r"], group_pairs=[], priority=False, subjects={"A": 1}, objects={"B": 1})
     two = dict(one, origin_id="b")
     # "a" is taken as the carrier of "r"; counting it again would leave no room for "b".
-    assert sampling.select_diverse([one, two], 8, {"r": 8}, {}, set(), {"r": 8}, {}) == {"a": "A0", "b": "B"}
+    assert taken([one, two], 8, {"r": 8}, {}, set(), {"r": 8}, {}) == {"a": "A0", "b": "B"}
+
+
+def test_diversity_query_equals_a_plain_walk(spark, sf):
+    from tuplewright.plans import catalogue
+
+    rows = [r.asDict() for r in catalogue._rows(spark, sf).collect()]
+    want = {}
+    for task in sorted({r["task"] for r in rows}):
+        origins = {}
+        for r in rows:
+            if r["task"] == task:
+                o = origins.setdefault(r["origin_id"], dict(origin_id=r["origin_id"], chunks=set(), rel_labels=set(), group_pairs=set(), subjects=Counter(), objects=Counter()))
+                o["chunks"].add(r["chunk_id"])
+                o["rel_labels"].add(r["label"])
+                o["group_pairs"].add(f"{r['subj_group']}>{r['obj_group']}")
+                o["subjects"][r["subj_group"]] += 1
+                o["objects"][r["obj_group"]] += 1
+        ordered = sorted(origins.values(), key=lambda o: (hashlib.md5(f"42:{o['origin_id']}".encode()).hexdigest(), o["origin_id"]))
+        exposure, support, pairs = Counter(), Counter(), Counter()
+        for o in ordered:
+            o["chunk_count"] = len(o["chunks"])
+            exposure.update({x: o["chunk_count"] for x in o["rel_labels"]})
+            support.update(o["rel_labels"])
+            pairs.update(o["group_pairs"])
+        caps = dims.HEAD_CAPS[task]
+        rel_need = {x: max(20, min(100, int(0.25 * n))) for x, n in exposure.items() if n >= 20 and x not in caps}
+        grp_need = {x: max(10, min(60, int(0.15 * n))) for x, n in pairs.items() if n >= 10}
+        rare = {x for x, n in exposure.items() if (n < 40 or support[x] < 15) and x not in caps}
+        for o in ordered:
+            o["priority"] = bool(o["rel_labels"] & (rare | set(dims.RARE)))
+        if sum(o["chunk_count"] for o in ordered) <= 400:
+            want |= {(task, o["origin_id"]): "all" for o in ordered}
+        else:
+            want |= {(task, x): step for x, step in walked(ordered, 400, rel_need, grp_need, rare, exposure, caps).items()}
+    got = {(r.task, r.origin_id): r.step for r in catalogue.diversity_sample(spark, sf).collect()}
+    assert got == want and len({*want.values()}) > 1
 
 
 def test_examples_equal_a_plain_walk(spark):

@@ -1,7 +1,7 @@
 """Routing of candidate pairs into tasks; chunks; profiles."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dims, labels, text
@@ -105,13 +105,16 @@ def chunk_profile(rows: DataFrame) -> DataFrame:
     )
 
 
-def origin_profile(rows: DataFrame) -> DataFrame:
+def origin_profile(rows: DataFrame, *more: Column) -> DataFrame:
+    """One row per origin; ``more``: further aggregates."""
     return rows.groupBy("task", "origin_id").agg(
-        F.countDistinct("chunk_id").alias("chunk_count"),
+        # One aggregate: a distinct count would shuffle twice.
+        F.size(F.collect_set("chunk_id")).cast("long").alias("chunk_count"),
         F.array_sort(F.collect_set("label")).alias("rel_labels"),
         F.array_sort(F.collect_set(F.concat_ws(">", "subj_group", "obj_group"))).alias("group_pairs"),
         F.count("*").alias("pair_count"),
         F.bool_or(F.col("label").isin(*dims.RARE)).alias("has_static_rare"),
+        *more,
     )
 
 

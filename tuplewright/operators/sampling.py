@@ -1,12 +1,15 @@
 """Quota selection of origins, splits, mode partition, few-shot picks, mixing."""
 from __future__ import annotations
 
-import math
-
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import dims
+from ..sources import files
 from . import routing
 from .ranking import order_key, positions
 
@@ -41,130 +44,138 @@ def skip_greedy(origins: DataFrame, quota_: int, seed: int = 42) -> DataFrame:
     return whole.unionByName(folded)
 
 
-class _State:
-    """Counts, needs and seen groups while one task's origins are selected."""
-
-    def __init__(self, room, rel_need, grp_need, caps):
-        self.room, self.rel_need, self.grp_need, self.caps = room, rel_need, grp_need, caps
-        self.count, self.taken, self.subjects, self.objects, self.selected = 0, {}, {}, {}, {}
-
-    def add(self, o, step):
-        n = o["chunk_count"]
-        self.selected[o["origin_id"]] = step
-        self.count += n
-        for label in o["rel_labels"]:
-            self.taken[label] = self.taken.get(label, 0) + n
-            if label in self.rel_need:
-                self.rel_need[label] = max(0, self.rel_need[label] - n)
-        for pair in o["group_pairs"]:
-            if pair in self.grp_need:
-                self.grp_need[pair] = max(0, self.grp_need[pair] - n)
-        for seen, groups in ((self.subjects, o["subjects"]), (self.objects, o["objects"])):
-            for group, pairs in groups.items():
-                seen[group] = seen.get(group, 0) + pairs
-
-    def fits(self, o):
-        return self.count + o["chunk_count"] <= self.room
-
-    def gain(self, o):
-        n = o["chunk_count"]
-        return sum(min(self.rel_need.get(x, 0), n) for x in o["rel_labels"]) + sum(min(self.grp_need.get(x, 0), n) for x in o["group_pairs"])
-
-    def penalty(self, o):
-        n = o["chunk_count"]
-        return sum(max(0.0, (self.taken.get(x, 0) + n * (x in o["rel_labels"])) / (self.count + n) - cap) for x, cap in self.caps.items())
-
-    def novelty(self, o):
-        return sum(1 / math.sqrt(1 + self.subjects.get(g, 0)) for g in o["subjects"]) + sum(1 / math.sqrt(1 + self.objects.get(g, 0)) for g in o["objects"])
-
-
-def select_diverse(origins: list[dict], room: int, rel_need: dict, grp_need: dict, rare: set, exposure: dict, caps: dict) -> dict[str, str]:
-    """origin -> step (A0 rare carriers, A priority, B coverage, C novelty).
-    ``origins`` are in keyed order; an origin already selected is passed over in every step.
-    Origins with the same ``shape``, if given, have equal profiles and are scored once."""
-    state = _State(room, dict(rel_need), dict(grp_need), caps)
-    covered: set[str] = set()
-
-    def add(o, step):
-        state.add(o, step)
-        covered.update(o["rel_labels"])
-
-    def by_score(some, score):
-        known: dict = {}
-        for o in some:
-            shape = o.get("shape", o["origin_id"])
-            if shape not in known:
-                known[shape] = score(o)
-        return sorted(some, key=lambda o: -known[o.get("shape", o["origin_id"])])
-
-    wanted = sorted({*rel_need, *rare}, key=lambda x: (exposure.get(x, 0), x))
-    # While a label isn't covered none of its carriers is selected: its smallest is the one to try.
-    smallest: dict[str, dict] = {}
-    for o in origins:
-        for label in o["rel_labels"]:
-            if label not in smallest or o["chunk_count"] < smallest[label]["chunk_count"]:
-                smallest[label] = o
-    for label in wanted:
-        if state.count >= room:
-            break
-        if label not in covered and label in smallest and state.fits(smallest[label]):
-            add(smallest[label], "A0")
-    for o in origins:
-        if o["priority"] and state.fits(o) and o["origin_id"] not in state.selected:
-            add(o, "A")
-    if state.count >= room:
-        return state.selected
-    common = [o for o in origins if not o["priority"] and o["chunk_count"] <= room]
-    spent: set = set()  # needs only fall, so a shape without gain has none later
-    for o in by_score(common, lambda o: state.gain(o) - 2 * state.penalty(o) * o["chunk_count"]):
-        if state.count >= room or not (any(state.rel_need.values()) or any(state.grp_need.values())):
-            break
-        shape = o.get("shape", o["origin_id"])
-        if shape in spent or o["origin_id"] in state.selected or not state.fits(o):
-            continue
-        if state.gain(o) <= 0:
-            spent.add(shape)
-            continue
-        add(o, "B")
-    left = [o for o in common if state.fits(o) and o["origin_id"] not in state.selected]
-    deferred = []
-    for o in by_score(left, lambda o: state.novelty(o) - 3 * state.penalty(o) * max(1, o["chunk_count"])):
-        if state.count >= room:
+class Lists:
+    """A list column: ``of[k]`` is the row of value ``code[k]``; ``names[code]`` its text."""
+
+    def __init__(self, column: pa.ListArray):
+        encoded = column.flatten().dictionary_encode()
+        self.names = encoded.dictionary.to_pylist()
+        self.code = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+        self.end = np.cumsum(sizes)
+        self.of = np.repeat(np.arange(len(sizes)), sizes)
+
+    def at(self, row: int) -> np.ndarray:
+        return self.code[self.end[row - 1] if row else 0 : self.end[row]]
+
+    def total(self, value: np.ndarray) -> np.ndarray:
+        """Per row the sum of a value of each entry."""
+        return np.bincount(self.of, value, len(self.end))
+
+    def holds(self, name: str) -> np.ndarray:
+        found = np.zeros(len(self.end), bool)
+        if name in self.names:
+            found[self.of[self.code == self.names.index(name)]] = True
+        return found
+
+
+def distinct_entries(lists: Lists) -> np.ndarray:
+    """1.0 at the first of equal neighbours of a row, else 0.0."""
+    same = (lists.code[1:] == lists.code[:-1]) & (lists.of[1:] == lists.of[:-1])
+    return np.r_[True, ~same].astype(float)[: len(lists.code)]
+
+
+def select_diverse(origins: pa.Table, room: int, rel_need: dict, grp_need: dict, rare: set, exposure: dict, caps: dict) -> list[tuple[int, str]]:
+    """(row, step) of the origins taken: A0 rare carriers, A priority, B coverage, C novelty.
+
+    ``origins`` in keyed order: chunk_count, priority, and the lists rel_labels,
+    group_pairs, subjects, objects (sorted; the last two with repeats).  Scores of
+    B and C are frozen when their step begins and computed for all origins at
+    once; what an origin adds and whether it still gains is looked at in turn.  An
+    origin already taken is passed over in every step.
+    """
+    size, priority = (origins.column(c).to_numpy() for c in ("chunk_count", "priority"))
+    rel, grp, subj, obj = (Lists(origins.column(c).combine_chunks()) for c in ("rel_labels", "group_pairs", "subjects", "objects"))
+    need = {id(rel): np.array([rel_need.get(x, 0) for x in rel.names], float), id(grp): np.array([grp_need.get(x, 0) for x in grp.names], float)}
+    seen = {id(x): np.zeros(len(x.names)) for x in (subj, obj)}
+    heads = [(rel.holds(name), cap) for name, cap in caps.items()]
+    taken, taken_heads, steps, count = np.zeros(len(size), bool), [0] * len(heads), [], 0
+
+    def add(i: int, step: str) -> None:
+        nonlocal count
+        n = int(size[i])
+        count += n
+        taken[i] = True
+        steps.append((int(i), step))
+        for lists in (rel, grp):
+            codes = lists.at(i)
+            need[id(lists)][codes] = np.maximum(need[id(lists)][codes] - n, 0)
+        for lists in (subj, obj):
+            np.add.at(seen[id(lists)], lists.at(i), 1)
+        for k, (has, _) in enumerate(heads):
+            taken_heads[k] += n * int(has[i])
+
+    def penalty(some):
+        """Of a row, or of all (``slice(None)``)."""
+        n, total = size[some], 0.0
+        for (has, cap), so_far in zip(heads, taken_heads):
+            total = total + np.maximum((so_far + n * has[some]) / (count + n) - cap, 0.0)
+        return total
+
+    def gains() -> np.ndarray:
+        return sum(lists.total(np.minimum(need[id(lists)][lists.code], size[lists.of])) for lists in (rel, grp))
+
+    def gain(i: int) -> float:
+        return sum(np.minimum(need[id(lists)][lists.at(i)], size[i]).sum() for lists in (rel, grp))
+
+    def novelty() -> np.ndarray:
+        return sum(lists.total(distinct_entries(lists) / np.sqrt(1 + seen[id(lists)][lists.code])) for lists in (subj, obj))
+
+    def ranked(some: np.ndarray, score: np.ndarray) -> list[int]:
+        return some[np.argsort(-score[some], kind="stable")].tolist()
+
+    # While a label isn't covered none of its carriers is taken: its smallest is the one to try.
+    for label in sorted({*rel_need, *rare}, key=lambda x: (exposure.get(x, 0), x)):
+        if count >= room:
             break
-        if not state.fits(o):
-            continue
-        over = state.penalty(o)
-        if over <= 0.005:
-            add(o, "C")
-        elif over <= 0.01:
-            deferred.append(o)
-    for o in deferred:
-        if state.fits(o) and state.penalty(o) <= 0.01:
-            add(o, "C")
-    return state.selected
+        carriers = np.flatnonzero(rel.holds(label))
+        if len(carriers) and not taken[carriers].any():
+            smallest = carriers[np.argmin(size[carriers])]
+            if count + size[smallest] <= room:
+                add(smallest, "A0")
+    for i in np.flatnonzero(priority & ~taken).tolist():
+        if count + size[i] <= room:
+            add(i, "A")
+    common = np.flatnonzero(~priority & (size <= room))
+    if count < room:
+        now = gains()
+        # Needs only fall: what gains nothing now gains nothing later.
+        for i in ranked(common[(now[common] > 0) & ~taken[common]], now - 2 * penalty(slice(None)) * count):
+            if count >= room or not any(n.any() for n in need.values()):
+                break
+            if count + size[i] <= room and gain(i) > 0:
+                add(i, "B")
+    deferred: list[int] = []
+    if count < room:
+        for i in ranked(common[~taken[common] & (count + size[common] <= room)], novelty() - 3 * penalty(slice(None)) * max(1, count)):
+            if count >= room:
+                break
+            if count + size[i] <= room:
+                over = penalty(i)
+                if over <= 0.005:
+                    add(i, "C")
+                elif over <= 0.01:
+                    deferred.append(i)
+    for i in deferred:
+        if count + size[i] <= room and penalty(i) <= 0.01:
+            add(i, "C")
+    return steps
+
+
+_ORIGIN = T.StructType([T.StructField(n, T.StringType()) for n in ("task", "origin_id", "step")])
 
 
 def diverse_origins(rows: DataFrame, quota_: int, seed: int = 42, limits: dict | None = None) -> DataFrame:
-    """task, origin_id, step.  ``rows`` are profile rows.  Profiles, floors, rarity
-    and priorities are aggregated natively; only the greedy choice, which depends
-    on every earlier choice, runs per task over origin profiles."""
-    import pandas as pd
-
+    """task, origin_id, step.  ``rows`` are profile rows.  Profiles are aggregated once and
+    written; floors, rarity and priorities are native too.  Only the greedy choice, which
+    depends on every earlier choice, runs per task over origin profiles, as arrays."""
     limits = limits or {}
-    origins = routing.origin_profile(rows)
+    sides = (F.array_sort(F.collect_list(c)).alias(name) for c, name in (("subj_group", "subjects"), ("obj_group", "objects")))
+    origins = files.kept(routing.origin_profile(rows, *sides))
     support = routing.relation_support(origins)
     rare = routing.dynamic_rare(support, **limits.get("rare", {}))
     marked = routing.priority_origins(origins, rare)
-
-    def groups(side: str, name: str):
-        n = F.filter("cells", lambda c: c["side"] == side)
-        return F.array_sort(F.transform(n, lambda c: F.struct(c["name"].alias("name"), c["n"].alias("n")))).alias(name)
-
-    sides = rows.select("task", "origin_id", F.explode(F.array(*[F.struct(F.lit(k).alias("side"), F.col(c).alias("name")) for k, c in (("s", "subj_group"), ("o", "obj_group"))])).alias("g"))
-    cells = sides.groupBy("task", "origin_id", "g").agg(F.count("*").alias("n")).groupBy("task", "origin_id").agg(F.collect_list(F.struct("g.side", "g.name", "n")).alias("cells"))
-    # A profile travels as one text, so the worker reads each distinct profile once.
-    shape = F.to_json(F.struct("chunk_count", "rel_labels", "group_pairs", "priority", groups("s", "subjects"), groups("o", "objects")))
-    packed = marked.join(cells, ["task", "origin_id"]).select("task", "origin_id", order_key(seed, F.col("origin_id")).alias("key"), F.col("chunk_count").cast("long").alias("n"), shape.alias("shape"))
+    packed = marked.select("task", "origin_id", order_key(seed, F.col("origin_id")).alias("key"), F.col("chunk_count").cast("long").alias("chunk_count"), "priority", "rel_labels", "group_pairs", "subjects", "objects")
     facts = (
         support.join(routing.relation_floors(support, **limits.get("relation", {})), ["task", "label"], "left")
         .join(rare.withColumn("rare", F.lit(True)), ["task", "label"], "left")
@@ -174,26 +185,19 @@ def diverse_origins(rows: DataFrame, quota_: int, seed: int = 42, limits: dict |
     grp = routing.group_floors(routing.group_support(origins), **limits.get("group", {})).groupBy("task").agg(F.to_json(F.collect_list(F.struct("group_pair", "floor"))).alias("groups"))
     needs = facts.join(grp, "task", "left").select(F.col("task").alias("of_task"), "labels", F.coalesce("groups", F.lit("[]")).alias("groups"))
 
-    def choose(pdf, need):
+    def choose(some: pa.Table, need: pa.Table) -> pa.Table:
         import json
 
-        names = ["task", "origin_id", "step"]
-        if not len(pdf):
-            return pd.DataFrame({c: pd.Series(dtype=str) for c in names})
-        task = pdf["task"].iloc[0]
-        if int(pdf["n"].sum()) <= quota_:
-            found = dict.fromkeys(pdf["origin_id"], "all")
+        if not some.num_rows:
+            return pa.table({n: pa.array([], pa.string()) for n in _ORIGIN.names})
+        task = some.column("task")[0].as_py()
+        if pc.sum(some.column("chunk_count")).as_py() <= quota_:
+            found = [(i, "all") for i in range(some.num_rows)]
         else:
-            pdf = pdf.sort_values(["key", "origin_id"])
-            codes, shapes = pd.factorize(pdf["shape"])
-            profiles = []
-            for i, text in enumerate(shapes):
-                profile = json.loads(text)
-                profile["subjects"], profile["objects"] = ({g["name"]: g["n"] for g in profile[side]} for side in ("subjects", "objects"))
-                profiles.append(profile | {"shape": i})
-            labels_, groups_ = json.loads(need["labels"].iloc[0]), json.loads(need["groups"].iloc[0])
+            some = some.sort_by([("key", "ascending"), ("origin_id", "ascending")])
+            labels_, groups_ = (json.loads(need.column(c)[0].as_py()) for c in ("labels", "groups"))
             found = select_diverse(
-                [{**profiles[code], "origin_id": name} for name, code in zip(pdf["origin_id"], codes.tolist())],
+                some,
                 quota_,
                 {x["label"]: x["floor"] for x in labels_ if x.get("floor") is not None},
                 {x["group_pair"]: x["floor"] for x in groups_},
@@ -201,9 +205,10 @@ def diverse_origins(rows: DataFrame, quota_: int, seed: int = 42, limits: dict |
                 {x["label"]: x["exposure"] for x in labels_},
                 dims.HEAD_CAPS.get(task, {}),
             )
-        return pd.DataFrame({"task": task, "origin_id": list(found), "step": list(found.values())}, columns=names)
+        picked = some.column("origin_id").take(pa.array([i for i, _ in found], pa.int64()))
+        return pa.table({"task": pa.array([task] * len(found), pa.string()), "origin_id": picked.cast(pa.string()), "step": pa.array([step for _, step in found], pa.string())})
 
-    return packed.groupBy("task").cogroup(needs.groupBy("of_task")).applyInPandas(choose, "task string, origin_id string, step string")
+    return packed.groupBy("task").cogroup(needs.groupBy("of_task")).applyInArrow(choose, _ORIGIN)
 
 
 def head_shares(rows: DataFrame, selected: DataFrame) -> DataFrame:
