@@ -462,6 +462,31 @@ def test_similar_groups_against_exact(spark, docs, rows, monkeypatch, cell):
     assert similar_groups.one_of_each(docs.limit(0)).count() == 0
 
 
+def test_similar_groups_of_the_shortest_texts(spark):
+    """Four against five shingles: exactly 0.8, and the widest apart in bits."""
+    texts = []
+    for k in range(120):
+        words = [f"a{k}b{i}" for i in range(9)]
+        texts += [(2 * k, " ".join(words[:8])), (2 * k + 1, " ".join(words))]
+    kept = similar_groups.one_of_each(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert {r.doc_id for r in kept.collect()} == set(range(0, 240, 2))
+
+
+def test_one_of_each_of_repeated_ids_and_clashing_names(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text, "b"), (1, text, "a"), (1, text + " x", "c"), (None, text, "d"), (2, None, "e"), (2, "", "f"), (None, None, "g"), (3, "other words of a text", "h"), (4, "and one more text here", "i"), (4, "and one more text here", "i")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, digest string")
+    for name in ("id", "__row", "row", "component", "key", "n"):
+        df = df.withColumn(name, F.lit(name))
+    kept = similar_groups.one_of_each(df)
+    assert kept.columns == df.columns
+    got = sorted((r.doc_id, r.text or "", r.digest) for r in kept.collect())
+    # Of rows alike in id and text the one of the least digest of the whole row.
+    assert [g[:2] for g in got] == [(1, text), (2, ""), (3, "other words of a text"), (4, "and one more text here")]
+    again = sorted((r.doc_id, r.text or "", r.digest) for r in similar_groups.one_of_each(df.repartition(3, "digest")).collect())
+    assert got == again
+
+
 @pytest.mark.parametrize("cell,size", [(2048, 16_000_000), (40, 16_000_000), (2048, 20_000)])
 def test_similar_groups_of_a_family_near_the_limit(spark, monkeypatch, cell, size):
     monkeypatch.setattr(similar_groups, "CELL", cell)
@@ -479,8 +504,8 @@ def test_similar_groups_of_a_family_near_the_limit(spark, monkeypatch, cell, siz
     of = list(range(300))
     for i, j in edges:
         of = [of[j] if c == of[i] else c for c in of]
-    got = similar_groups.groups(spark.createDataFrame(texts, "row long, text string")).collect()
-    label = {r.row: r.component for r in got}
+    got = similar_groups.groups(spark.createDataFrame(texts, "id long, text string").withColumn("digest", F.md5("text"))).collect()
+    label = {r.id: r.component for r in got}
     assert all(label[i] == label[j] for i, j in edges)
     assert len(set(label.values())) == len(set(of))
 

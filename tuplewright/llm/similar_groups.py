@@ -13,8 +13,10 @@ of ``simhash``:
    (for 0.8 and 12 tables all but five in a million).  Large buckets are dealt
    out as cells as in ``simhash``.
 3. The bit planes of a cell are compared with carry-save counters, and blocks
-   left when all lanes are past the radius, which lies three standard deviations
-   beyond the stated similarity.  Of each cell the spanning forest of least
+   left when all lanes are past the radius, which lies ``DEVIATIONS`` standard
+   deviations beyond the stated similarity: for the shortest texts, in which ties
+   of the majority add to the distance (four against five shingles differ in
+   3/16 of the bits), still five.  Of each cell the spanning forest of least
    distances is kept.
 4. The links of the forests are verified on the shingle sets themselves; their
    connected components are groups found so far.
@@ -26,6 +28,7 @@ of ``simhash``:
 
 A null or wordless text is the empty set, so such texts form one class; a text
 shorter than a shingle is one shingle.  Repeated rows are members of one class.
+Texts are named by their md5, never by their place in a scan.
 """
 from __future__ import annotations
 
@@ -43,6 +46,7 @@ from .simhash import CELL, SLAB
 
 WORDS = 4
 TABLES = 12
+DEVIATIONS = 7
 #: Bytes of shingle sets in a cell's part, where sets are dealt to cells.
 SETS = 16_000_000
 _ODD = [((2 * i + 1) * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019 * i) & 0xFFFFFFFFFFFFFFFF | 1 for i in range(1, WORDS + 2 * TABLES + 1)]
@@ -87,10 +91,10 @@ def keys_of(values: np.ndarray) -> np.ndarray:
 
 
 def radius_for(similarity: float) -> int:
-    """Bits that may differ at this Jaccard similarity, and three deviations more."""
+    """Bits that differ at this Jaccard similarity, and some deviations more."""
     bits = 64 * WORDS
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * share + 3 * math.sqrt(bits * share * (1 - share)))
+    return round(bits * share + DEVIATIONS * math.sqrt(bits * share * (1 - share)))
 
 
 def distances(planes: np.ndarray, queries: np.ndarray, radius: int) -> np.ndarray:
@@ -290,13 +294,23 @@ def _cells(rows: DataFrame, *columns: str, size: str | None = None) -> DataFrame
 
 
 def _sets(rows: DataFrame, width: int, out: T.StructType) -> DataFrame:
+    """cls, shingles of each class once; of copies a task sends the first of some 100 000 classes."""
+
     def run(batches):
-        to = arrow_schema(out)
+        to, sent = arrow_schema(out), set()
         for batch in batches:
-            sets = [shingle_set(t or "", width).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("cls").cast(pa.binary()), pa.array(sets, pa.binary())], schema=to)
+            names, sets = [], []
+            for name, text in zip(batch.column("cls").to_pylist(), batch.column("text").to_pylist()):
+                if name not in sent:
+                    sent.add(name)
+                    names.append(name)
+                    sets.append(shingle_set(text or "", width).tobytes())
+            if names:
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(sets, pa.binary())], schema=to)
+            if len(sent) > 100_000:
+                sent.clear()
 
-    return rows.select("cls", "text").mapInArrow(run, out)
+    return rows.select("cls", "text").mapInArrow(run, out).dropDuplicates(["cls"])
 
 
 def _verified(similarity: float, out: T.StructType):
@@ -316,11 +330,11 @@ def _verified(similarity: float, out: T.StructType):
 
 
 def groups(rows: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``rows``: row (unique), text -> row, cls, component: rows are in one group
-    if a chain of links of at least ``similarity`` joins them."""
+    """``rows``: id, digest (a name of the text), text -> id, digest, cls, component of every
+    row: rows are in one group if a chain of links of at least ``similarity`` joins them."""
     spark = rows.sparkSession
     small_batches(spark)
-    made = schema(("row", "long"), ("cls", "binary"), ("fp", "binary"), ("n", "int"), ("keys", T.ArrayType(T.LongType(), False)))
+    made = schema(("id", rows.schema["id"].dataType), ("digest", "string"), ("cls", "binary"), ("fp", "binary"), ("n", "int"), ("keys", T.ArrayType(T.LongType(), False)))
 
     def run(batches):
         from xxhash import xxh128_digest
@@ -331,20 +345,20 @@ def groups(rows: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFram
             keys = [keys_of(s).view(np.int64) for s in sets]
             flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * TABLES), pa.array(flat))
-            cols = [batch.column("row"), pa.array([xxh128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([wide_fingerprint(s).tobytes() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int32()), lists.cast(to.field("keys").type)]
-            yield pa.RecordBatch.from_arrays(cols, schema=to)
+            cols = [batch.column("id"), batch.column("digest"), pa.array([xxh128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([wide_fingerprint(s).tobytes() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int32()), lists]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, to)], schema=to)
 
-    marked = durable(rows.select("row", "text").mapInArrow(run, made))
-    classes = marked.groupBy("cls").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.min("row").alias("row"))
+    marked = durable(rows.select("id", "digest", "text").mapInArrow(run, made))
+    classes = marked.groupBy("cls").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.min("digest").alias("digest"))
     pair = schema(("u", "binary"), ("v", "binary"))
     radius = radius_for(similarity)
     placed = classes.select("cls", "fp", "n", F.posexplode("keys").alias("t", "bucket"))
     met = schema(("t", "int"), ("bucket", "long"), ("u", "binary"), ("v", "binary"))
     proposed = durable(_cells(placed, "fp").mapInArrow(_compare(radius, met), met))
     pairs = proposed.select("u", "v").distinct()
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("cls")).distinct().join(classes.select("cls", "row"), "cls")
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("cls")).distinct().join(classes.select("cls", "digest"), "cls")
     kept = schema(("cls", "binary"), ("shingles", "binary"))
-    sets = durable(_sets(rows.join(nodes, "row").select("cls", "text"), width, kept))
+    sets = durable(_sets(rows.select("digest", "text").join(nodes, "digest"), width, kept))
     sided = pairs.join(sets.select(F.col("cls").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("cls").alias("v"), F.col("shingles").alias("b")), "v")
     verified = durable(sided.mapInArrow(_verified(similarity, pair), pair))
     found = components(verified)
@@ -358,17 +372,27 @@ def groups(rows: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFram
         more = durable(_cells(held, "fp", "component", "shingles", size="size").mapInArrow(_join_open(radius, similarity, pair), pair))
         if not more.isEmpty():
             found = components(verified.unionByName(more))
-    return marked.select("row", "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left").select("row", "cls", F.coalesce("component", "cls").alias("component"))
+    return marked.select("id", "digest", "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left").select("id", "digest", "cls", F.coalesce("component", "cls").alias("component"))
 
 
 def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group: that of the smallest id (null last),
-    then the first in the table."""
-    marked = docs.withColumn("__row", F.monotonically_increasing_id())
-    texts = marked.select(F.col("__row").alias("row"), text_or_empty(F.col(f"`{text_col}`")).alias("text"))
-    ids = marked.select(F.col("__row").alias("row"), F.col(f"`{id_col}`").alias("id"))
-    members = groups(texts, width, similarity).join(ids, "row").select("row", "id", "component")
-    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row"))
-    leaders = durable(members.groupBy("component").agg(first["row"].alias("leader"), F.count("*").alias("n")).where("n > 1").select("component", "leader"))
-    dropped = members.join(leaders, "component").where("row != leader").select(F.col("row").alias("__row"))
-    return marked.join(dropped, "__row", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    """``docs`` with one row of each group: that of the smallest id (null last), of
+    those of the least digest of the text, of those of the least digest of the row."""
+    key, text = docs[f"`{id_col}`"], text_or_empty(docs[f"`{text_col}`"])
+    digest = F.md5(text.cast("binary"))
+    members = groups(docs.select(key.alias("id"), digest.alias("digest"), text.alias("text")), width, similarity)
+    named = members.groupBy("component", "id", "digest").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "digest"))
+    leaders = durable(named.groupBy("component").agg(first.alias("leader"), F.sum("n").alias("n")).where("n > 1").select("component", "leader"))
+    fate = durable(named.join(leaders, "component").select("id", "digest", "n", (F.col("leader.id").eqNullSafe(F.col("id")) & (F.col("leader.digest") == F.col("digest"))).alias("leads")))
+
+    def with_rows(df: DataFrame, some: DataFrame, how: str) -> DataFrame:
+        return df.join(some, df[f"`{id_col}`"].eqNullSafe(some["id"]) & (F.md5(text_or_empty(df[f"`{text_col}`"]).cast("binary")) == some["digest"]), how)
+
+    kept = with_rows(docs, fate.where("not leads").select("id", "digest"), "left_anti")
+    repeated = fate.where("leads and n > 1").select("id", "digest")
+    if repeated.isEmpty():
+        return kept
+    row = F.struct(*[f"`{c}`" for c in docs.columns])
+    same = with_rows(kept, repeated, "left_semi").groupBy(F.col(f"`{id_col}`"), F.md5(text_or_empty(F.col(f"`{text_col}`")).cast("binary"))).agg(F.min_by(row, F.md5(F.to_json(row).cast("binary"))).alias("_row"))
+    return with_rows(kept, repeated, "left_anti").unionByName(same.select("_row.*"))
