@@ -186,11 +186,27 @@ def bigram_matrix(made: DataFrame, words: list[bytes]) -> np.ndarray:
     parts = min(shuffle_partitions(made.sparkSession), n)
     matrix = np.zeros((n, n), np.int64)
     # n rows of n counts at most.
-    for left, cells in made.mapInArrow(run, out).repartition(parts, "left").mapInArrow(merge, out).toLocalIterator():
+    for left, cells in made.mapInArrow(run, out).repartition(parts, "left").mapInArrow(merge, out).collect():
         matrix[left] = np.frombuffer(cells, np.int64)
     return matrix
 
 
+_CELLS = ("cell", "int"), ("n", "long")
+
+
+def _nonzero(total: np.ndarray, to: pa.Schema) -> pa.RecordBatch:
+    cells = np.flatnonzero(total)
+    return pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(total[cells].astype(np.int64))], schema=to)
+
+
+def _summed(cells: DataFrame, size: int) -> np.ndarray:
+    """The sums of cells, of which there are ``size``: no more rows come to the driver."""
+    total = np.zeros(size, np.int64)
+    for cell, n in cells.groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        total[cell] = n
+    return total
+
+
 def _plogp(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
 
@@ -400,14 +416,23 @@ def cluster(words: DataFrame, paths: list[str], seeds: list[bytes], classes: np.
         "word", "cells", F.pmod(F.xxhash64("word"), F.lit(2)).cast("int").alias("half"), F.col("seed_class").isNotNull().alias("fixed"), F.coalesce("seed_class", F.lit(-1)).alias("class")
     )
     matrix = np.zeros((size, n_classes), np.int64)
-    for (cells, c) in rows.where("fixed").select("cells", "class").toLocalIterator():
+    for cells, c in rows.where("fixed").select("cells", "class").collect():
         cells = np.frombuffer(cells, "<i8")
         matrix[cells & 255, c] += cells >> 8
 
     def step(rows, matrix, half):
         path, made = stored(_sweep(rows, matrix, half), "classes")
-        total = sum(np.frombuffer(r.cells, np.int64) for r in made.where("word is null").select("cells").toLocalIterator())
-        return path, made.where("word is not null"), (total + np.zeros(size * n_classes, np.int64)).reshape(size, n_classes)
+        out = schema(*_CELLS)
+
+        def totals(batches):
+            total = np.zeros(size * n_classes, np.int64)
+            for batch in batches:
+                for cells in batch.column("cells").to_pylist():
+                    total += np.frombuffer(cells, np.int64)
+            yield _nonzero(total, arrow_schema(out))
+
+        total = _summed(made.where("word is null").select("cells").mapInArrow(totals, out), size * n_classes)
+        return path, made.where("word is not null"), total.reshape(size, n_classes)
 
     path, rows, matrix = step(rows, matrix, None)
     for old in paths:
@@ -544,7 +569,7 @@ def _scored_rows(batches):
 def transitions(scored: DataFrame, n_classes: int, epsilon: float) -> np.ndarray:
     """log10 P(class | class before); the last two are unseen words and the ends of texts."""
     size = n_classes + 2
-    out = schema(("cells", "binary"))
+    out = schema(*_CELLS)
 
     def run(batches):
         total = np.zeros(size * size, np.int64)
@@ -554,12 +579,9 @@ def transitions(scored: DataFrame, n_classes: int, epsilon: float) -> np.ndarray
             chain = _chain(classes[np.repeat(train, lengths)].astype(np.int64), lengths[train], size - 1)
             of = np.where(chain >= ONCE, n_classes, chain)
             total += np.bincount(of[:-1] * size + of[1:], minlength=size * size)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], schema=arrow_schema(out))
+        yield _nonzero(total, arrow_schema(out))
 
-    pairs = np.zeros(size * size)
-    for (cells,) in scored.mapInArrow(run, out).toLocalIterator():
-        pairs += np.frombuffer(cells, np.int64)
-    pairs = pairs.reshape(size, size)
+    pairs = _summed(scored.mapInArrow(run, out), size * size).reshape(size, size).astype(float)
     return np.log10((pairs + epsilon) / (pairs.sum(axis=1, keepdims=True) + epsilon * size))
 
 
