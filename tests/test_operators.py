@@ -52,8 +52,10 @@ def documents(spark, tmp_path_factory):
 
 
 def test_read_route_and_count(spark, documents):
-    docs = files.with_ids(files.read_jsonl(spark, documents, files.RAW), prefix="gold_")
-    assert {r.id for r in docs.collect()} == {"gold_7", "gold_x", "gold_all_0", "gold_all_1"}
+    docs = files.read_documents(spark, documents, prefix="gold_")
+    assert {r.id for r in docs.collect()} == {"gold_7", "gold_x", "gold_all_2", "gold_all_3"}
+    framed = files.with_ids(files.read_jsonl(spark, documents, files.RAW), "eval")
+    assert {r.id for r in framed.collect()} == {"7", "x", "eval_2", "eval_3"} and framed.columns == files.RAW.names
     pairs = routing.explode_documents(docs)
     got = {(r.origin_id, r.pair_id): (r.task, r.relation) for r in routing.classify(pairs).collect()}
     assert got == {
@@ -61,12 +63,91 @@ def test_read_route_and_count(spark, documents):
         ("gold_7", "E3"): ("ner_bee", "효과"),
         ("gold_7", "E4"): ("ner_bee", "NO_RELATION"),
         ("gold_7", "E6"): ("ner_ner", "used_by"),
-        ("gold_all_0", "E1"): ("ner_ner", "NO_RELATION"),
+        ("gold_all_2", "E1"): ("ner_ner", "NO_RELATION"),
     }
     assert tuple(routing.classify_counts(pairs).first()) == (1, 1, 1, 1)
     assert {r.pair_id for r in routing.without_negatives(pairs).collect()} == {"E1", "E2", "E3", "E4", "E6", "E7"}
 
 
+def test_documents_of_several_files_are_numbered_in_order(spark, tmp_path):
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "2.jsonl").write_text('{"text": "b2"}\n\n{"id": null, "text": "null"}\n{"id": 1.5, "text": "n"}\n')
+    (tmp_path / "b" / "1.jsonl").write_text("".join(f'{{"text": "long {i}"}}\n' for i in range(50)))
+    (tmp_path / "a.jsonl").write_text('{"text": "a0"}\n{"id": "", "text": "a1"}\n{"text": "a2", "candidate_pairs": ["[A1]x[/A1]", {"pair_id": 5, "subject": "s"}, null]}\n')
+    docs = {r.text: r for r in files.read_documents(spark, [str(tmp_path / "b"), str(tmp_path / "a.jsonl")]).collect()}
+    assert {t: docs[t].id for t in ("long 0", "long 49", "b2", "null", "n", "a0", "a1", "a2")} == {"long 0": "all_0", "long 49": "all_49", "b2": "all_50", "null": "None", "n": "1.5", "a0": "all_53", "a1": "", "a2": "all_55"}
+    assert [p and tuple(p) for p in docs["a2"].candidate_pairs] == [("UNK", "UNKNOWN", "UNKNOWN", "NO_RELATION"), ("5", "s", None, None), None]
+    with pytest.raises(Exception):
+        (tmp_path / "c.jsonl").write_text('{"id": "1"}\n{broken\n')
+        files.read_documents(spark, str(tmp_path / "c.jsonl")).collect()
+
+
+def test_signatures_of_prompt_settings():
+    prompts = """# c
+system_prompt_ner_bee_true_only: |
+  Only true
+  # a note
+  pairs.
+system_prompt_ner_bee : |
+  All   pairs
+other: x
+system_prompt_ner_ner: |
+""" + "  long " * 100
+    found = dict(files.signatures(prompts))
+    assert found == {"NER-BEE_TRUE_ONLY": "Onlytruepairs.", "NER-BEE": "Allpairsother:x", "NER-NER": ("long" * 100)[:250]}
+
+
+def test_double_encoded_answers_are_searched_decoded(spark):
+    plain = '[{"pair_id": "[E1]" "subject": "A \\"b\\"", "object": "c", "relation": "owns"}]'
+    rows = [(1, plain), (2, json.dumps(plain)), (3, json.dumps(json.dumps([{"pair_id": "[E1]", "subject": "a", "object": "c"}]))), (4, json.dumps("no braces")), (5, None)]
+    got = {r.row_id: [tuple(t) for t in r.tuples] for r in answers.parse(spark.createDataFrame(rows, "row_id int, prediction string").withColumn("task", F.lit("NER-NER"))).collect()}
+    assert got[2] == got[1] and len(got[1]) == 1 and got[3] == [("[E1]", "a", "c", "true")] or got[3] == [], got
+    assert got[4] == got[5] == []
+
+
+def test_parsed_records_and_audit(spark):
+    rows = [(2, '[{"pair_id": "E1", "subject": "a", "object": "b", "relation": "owns"}]', "use the NER-NER task", "[]"), (1, None, None, '{"subject": "x (y)", "object": "z", "is_relational": true}')]
+    told = spark.createDataFrame(rows, "row_id long, prediction string, full_input string, ground_truth string")
+    records = answers.parsed_records(told, gold=True)
+    got = {r.row_id: r for r in records.collect()}
+    assert got[2].expected_task == "NER-NER" and [tuple(t) for t in got[2].pred_tuples] == [("E1", "a", "b", "owns")] and got[2].ground_truth == []
+    assert got[1].expected_task == "COMBINE_ALL" and got[1].pred_tuples == [] and [tuple(t) for t in got[1].ground_truth] == [("UNKNOWN", "x (y)", "z", "true")]
+    shown = answers.audit(records, 1).collect()
+    assert [r.row_id for r in shown] == [1] and json.loads(shown[0].record)["full_input"] is None
+
+
+def test_response_spans(spark):
+    tag, user = "<|turn>model\n", "<|turn>user\n"
+    values = [f"<bos>{user}hi<turn|>\n{tag}yes é<turn|>\n{user}more<turn|>\n{tag}a{tag}b", "none", "", None, tag]
+    got = column(spark, values, text.response_spans)
+    assert [values[0][b:e] for b, e in got[0]] == ["yes é<turn|>\n", "a", "b"]
+    assert got[1:3] == [[], []] and [tuple(s) for s in got[4]] == [(len(tag), len(tag))]
+
+
+def test_token_length_by_file(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    files_of = pytest.importorskip("public_tokenizers")
+    path, values = files_of.path("byte_bpe_50k.json"), ["two words", "", None, "é😀   x"]
+    tokenizer = tokenizers.Tokenizer.from_file(path)
+    want = [None if v is None else len(tokenizer.encode(v, add_special_tokens=False).ids) for v in values]
+    assert column(spark, values, lambda c: text.token_len(c, f"file:{path}")) == want
+
+
+def test_unmet_floors(spark):
+    rows = [("ner_ner", f"o{i}", f"o{i}", "owns" if i < 30 else "rare", "A", "B") for i in range(32)]
+    df = spark.createDataFrame(rows, "task string, origin_id string, chunk_id string, label string, subj_group string, obj_group string")
+    chosen = df.where("origin_id in ('o1', 'o2', 'o31')").select("task", "origin_id")
+    got = {tuple(r) for r in sampling.unmet_floors(df, chosen).collect()}
+    assert got == {("ner_ner", "relation", "owns", 20, 2), ("ner_ner", "group", "A>B", 10, 3)}
+    assert sampling.unmet_floors(df, df.select("task", "origin_id")).count() == 0
+
+
+def test_first_task_follows_the_order_of_tasks(spark):
+    df = spark.createDataFrame([("a", "ner_bee"), ("a", "ner_ner"), ("b", "ner_bee"), ("c", "zz"), ("c", "aa"), ("c", "ner_bee_true_only")], "origin_id string, task string")
+    assert {r.origin_id: r.task for r in sampling.first_task(df).collect()} == {"a": "ner_ner", "b": "ner_bee", "c": "ner_bee_true_only"}
+    assert {r.origin_id: r.task for r in sampling.first_task(df, ("zz",)).collect()} == {"a": "ner_bee", "b": "ner_bee", "c": "zz"}
+
+
 def test_broken_line_fails(spark, tmp_path):
     (tmp_path / "b.jsonl").write_text('{"id": "1"}\n{broken\n')
     with pytest.raises(Exception):
@@ -379,6 +460,8 @@ def test_interleave_recycles(spark):
 def test_stores(spark, tmp_path):
     rows = spark.createDataFrame([("a", "train"), ("b", "test")], "text string, split string")
     files.write_splits(rows, str(tmp_path / "s"))
+    files.write_splits(rows.limit(0), str(tmp_path / "none"))
+    assert [p.name for p in (tmp_path / "none").iterdir() if p.is_dir()] == ["split=train"]
     assert {r.text for r in spark.read.parquet(str(tmp_path / "s")).where("split = 'test'").collect()} == {"b"}
     path = files.cached_path(str(tmp_path), {"a": 1})
     assert path != files.cached_path(str(tmp_path), {"a": 2})

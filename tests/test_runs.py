@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tuplewright.functions import dims
 from tuplewright.operators import sampling
 from tuplewright.plans import runs
 from tuplewright.sources import files
@@ -44,7 +45,7 @@ def test_evaluation_and_merge(spark, docs):
     settings = runs.Settings(TEMPLATES)
     rows = runs.evaluation(docs, settings, "ner_ner", "no_fewshot").cache()
     assert sorted(r.row_id for r in rows.collect()) == list(range(rows.count()))
-    assert rows.where(~F.col("prompt").endswith(runs.SPLIT_TAG)).count() == 0
+    assert rows.where(~F.col("prompt").endswith(dims.FORMATS["gemma4"][0])).count() == 0
     assert rows.where(F.col("ground_truth").contains("<turn|>")).count() == 0
     told = rows.select("row_id", F.concat(F.lit("<think>so</think>"), "ground_truth").alias("prediction"))
     tuples, rate = runs.merged(told, rows, docs, settings)
@@ -57,6 +58,15 @@ def test_evaluation_and_merge(spark, docs):
         runs.merged(told.limit(1), rows, docs, settings)
     with pytest.raises(ValueError):
         runs.evaluation(docs, settings, "bee_bee", "no_fewshot")
+    with pytest.raises(ValueError):
+        runs.evaluation(docs.limit(0), settings, "ner_ner", "no_fewshot")
+    answered = told.join(rows.select("row_id", F.col("prompt").alias("full_input"), "ground_truth"), "row_id")
+    records = runs.merged_records(answered.withColumn("prediction", F.when(F.col("row_id") % 5 > 0, F.col("prediction")).otherwise("no answer")), rows, docs, settings).collect()
+    assert len(records) == rows.count()
+    for r in records:
+        assert r.expected_task == "NER-NER" and r.mode == "no_fewshot" and r.full_input
+        assert r.pred_tuples == (r.ground_truth if r.row_id % 5 else []) and r.ground_truth
+        assert all((t.subject.source_type, t.subject.word) == ("NER", f"Kim {t.pair_id[2:-1]}") and t.object.word == f"cream {t.pair_id[2:-1]}" for t in r.ground_truth)
 
 
 def test_hit_rate_covers_rows_past_the_first_hundred(spark, docs):
@@ -71,7 +81,7 @@ def test_hit_rate_covers_rows_past_the_first_hundred(spark, docs):
 def test_no_documents(spark, docs):
     none = docs.limit(0)
     assert runs.training(none, runs.Settings(TEMPLATES)).count() == 0
-    assert runs.evaluation(none, runs.Settings(TEMPLATES), "ner_bee", "reasoning").count() == 0
+    assert runs.evaluation(none, runs.Settings(TEMPLATES), "ner_bee", "reasoning", allow_empty=True).count() == 0
 
 
 def test_gold_first_equals_a_plain_walk(spark):

@@ -74,6 +74,25 @@ MODES = {
 MODE_RATIOS = (("system_only", 0.2), ("full", 0.6), ("no_fewshot", 0.2), ("reasoning", 0.0))
 FULL_DETAILED_RATIO = 0.7
 
+# The order in which tasks are split; an origin of several is placed by the first.
+TASKS = ("ner_ner", "ner_bee", "ner_bee_true_only")
+
+# Model format -> tag that begins the model's turn, stop tokens.
+FORMATS = {
+    "gemma4": ("<|turn>model\n", ("<turn|>",)),
+    "gemma3": ("<start_of_turn>model\n", ("<end_of_turn>",)),
+    "qwen": ("<|im_start|>assistant\n", ("<|im_end|>",)),
+}
+
+# Keys of prompt settings -> the task whose prompt they hold.
+PROMPT_KEYS = {
+    "system_prompt_combine_all": "COMBINE_ALL",
+    "system_prompt_ner_bee_true_only": "NER-BEE_TRUE_ONLY",
+    "system_prompt_ner_bee": "NER-BEE",
+    "system_prompt_ner_ner": "NER-NER",
+    "system_prompt_bee_bee": "BEE-BEE",
+}
+
 # Relation assumed where an answer names none.
 DEFAULT_RELATION = {"NER-BEE": "true", "NER-BEE_TRUE_ONLY": "true", "NER-NER": "no_relation", "BEE-BEE": "no_relation", "COMBINE_ALL": "true", "UNKNOWN": "true"}
 

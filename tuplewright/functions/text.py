@@ -1,11 +1,16 @@
 """Tags, chat markup, prompt assembly and JSON text, as column expressions."""
 from __future__ import annotations
 
+import re
+from functools import lru_cache
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .labels import strip
 
+# Fixed value: a tag in a text.
 TAG = r"\[([A-Z_][A-Z_0-9/]*\d+)\]"
 TAG_PADDING = 200
 KEEP_SHARE = 0.7
@@ -71,11 +76,30 @@ def without_think_tags(col: Column) -> Column:
 
 
 def without_stop_tokens(col: Column, own: tuple[str, ...] = ()) -> Column:
+    # End tokens of any format.
     for token in (*own, "<|im_end|>", "<end_of_turn>", "<turn|>"):
         col = F.replace(col, F.lit(token), F.lit(""))
     return strip(col)
 
 
+def format_of(path: str) -> str:
+    low = path.lower()
+    return "gemma4" if "gemma4" in low or "gemma-4" in low else "gemma3" if "gemma" in low else "qwen"
+
+
+def response_spans(transcript: Column, instruction: str = "<|turn>user\n", response: str = "<|turn>model\n") -> Column:
+    """(begin, end) in code points of what a model should learn: from each response tag to
+    the next instruction tag, response tag or the end."""
+    parts = F.split(transcript, re.escape(response), -1)
+
+    def span(k: Column) -> Column:
+        before = F.slice(parts, F.lit(1), k)
+        begin = F.aggregate(before, F.lit(0), lambda n, p: n + F.length(p) + len(response))
+        return F.struct(begin.alias("begin"), (begin + F.length(F.substring_index(F.get(parts, k), instruction, 1))).alias("end"))
+
+    return F.when(F.size(parts) > 1, F.transform(F.sequence(F.lit(1), F.size(parts) - 1), span)).otherwise(F.array().cast("array<struct<begin:int,end:int>>"))
+
+
 def model_format(path: Column) -> Column:
     low = F.lower(path)
     return F.when(low.contains("gemma4") | low.contains("gemma-4"), "gemma4").when(low.contains("gemma"), "gemma3").otherwise("qwen")
@@ -88,7 +112,39 @@ def answer_at(col: Column, split_tag: str) -> tuple[Column, Column]:
     return F.when(at > 0, F.substr(col, F.lit(1), end)).otherwise(col), F.when(at > 0, F.substr(col, end + 1)).otherwise(F.lit(""))
 
 
+def file_tokens(path: str):
+    """An Arrow function: tokens of a text by a tokenizer file of the ``tokenizers`` library
+    (.json) or of sentencepiece (.model), without special tokens; null: null."""
+    @F.arrow_udf("int")
+    def count(texts: pa.Array) -> pa.Array:
+        known = texts.to_pylist()
+        some = [t for t in known if t is not None]
+        if path.endswith(".model"):
+            import sentencepiece
+
+            sizes = iter([len(ids) for ids in sentencepiece.SentencePieceProcessor(model_file=path).encode(some)])
+        else:
+            sizes = iter([len(x.ids) for x in _tokenizer(path).encode_batch(some, add_special_tokens=False)])
+        return pa.array([None if t is None else next(sizes) for t in known], pa.int32())
+
+    return count
+
+
+@lru_cache(maxsize=2)
+def _tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
 def token_len(col: Column, kind: str = "bytes4") -> Column:
+    """Tokens of a text: ``bytes4`` (UTF-8 bytes over four), ``chars``, ``words`` or
+    ``file:<path>``, counted by that tokenizer file."""
+    if kind.startswith("file:"):
+        return file_tokens(kind.removeprefix("file:"))(col)
     if kind == "chars":
         return F.length(col)
     if kind == "words":

@@ -25,6 +25,8 @@ def explode_documents(docs: DataFrame) -> DataFrame:
         F.when(F.col("meta").isNotNull(), F.col("meta.object.source_type")).alias("obj_source"),
         F.col("meta.subject.entity_group").alias("subj_group"),
         F.col("meta.object.entity_group").alias("obj_group"),
+        F.col("meta.subject.word").alias("subj_word"),
+        F.col("meta.object.word").alias("obj_word"),
     )
 
 

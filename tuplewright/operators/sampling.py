@@ -219,14 +219,28 @@ def head_shares(rows: DataFrame, selected: DataFrame) -> DataFrame:
     return held.join(F.broadcast(total), "task").select("task", "label", "held", "chunks", (F.col("held") / F.col("chunks")).alias("share"))
 
 
-def first_task(origins: DataFrame) -> DataFrame:
-    """Each origin once, in the first of its tasks (by name)."""
-    return origins.groupBy("origin_id").agg(F.min("task").alias("task"))
-
-
-def split(origins: DataFrame, seed: int = 42, train: float = 0.7, train_and_validation: float = 0.8, train_only: bool = False) -> DataFrame:
+def unmet_floors(rows: DataFrame, selected: DataFrame, **limits) -> DataFrame:
+    """task, kind (relation or group), name, floor, taken: floors that the chunks of the
+    selected origins (task, origin_id) which hold the label or pair do not reach."""
+    origins = routing.origin_profile(rows)
+    floors = routing.relation_floors(routing.relation_support(origins), **limits.get("relation", {})).select("task", F.lit("relation").alias("kind"), F.col("label").alias("name"), "floor")
+    floors = floors.unionByName(routing.group_floors(routing.group_support(origins), **limits.get("group", {})).select("task", F.lit("group").alias("kind"), F.col("group_pair").alias("name"), "floor"))
+    chosen = origins.join(selected, ["task", "origin_id"], "left_semi")
+    held = [chosen.select("task", F.lit(kind).alias("kind"), F.explode(c).alias("name"), "chunk_count") for kind, c in (("relation", "rel_labels"), ("group", "group_pairs"))]
+    taken = held[0].unionByName(held[1]).groupBy("task", "kind", "name").agg(F.sum("chunk_count").alias("taken"))
+    return floors.join(taken, ["task", "kind", "name"], "left").withColumn("taken", F.coalesce("taken", F.lit(0))).where("taken < floor")
+
+
+def first_task(origins: DataFrame, tasks: tuple[str, ...] = dims.TASKS) -> DataFrame:
+    """Each origin once, in the first of its tasks: in the order of ``tasks``, others after them by name."""
+    place = F.coalesce(F.array_position(F.array(*[F.lit(t) for t in tasks]), F.col("task")), F.lit(0))
+    rank = F.struct(F.when(place > 0, place).otherwise(len(tasks) + 1).alias("place"), "task")
+    return origins.groupBy("origin_id").agg(F.min(rank)["task"].alias("task"))
+
+
+def split(origins: DataFrame, seed: int = 42, train: float = 0.7, train_and_validation: float = 0.8, train_only: bool = False, tasks: tuple[str, ...] = dims.TASKS) -> DataFrame:
     """origin_id, task, split: 70/10/20 within the first task of an origin, in double arithmetic."""
-    placed = positions(first_task(origins), "task", "origin_id", seed)
+    placed = positions(first_task(origins, tasks), "task", "origin_id", seed)
     a, b = F.floor(F.col("size") * F.lit(train)), F.floor(F.col("size") * F.lit(train_and_validation))
     named = F.lit("train") if train_only else F.when(F.col("position") < a, "train").when(F.col("position") < b, "validation").otherwise("test")
     return placed.select("origin_id", "task", named.alias("split"))

@@ -70,7 +70,7 @@ _RARE = f"{_SUPPORT}, rare AS (SELECT task, label FROM support WHERE (exposure <
 _PRIORITY = f"""{_RARE}, marked AS (
   SELECT o.task, o.origin_id, o.chunk_count, o.pair_count, o.has_static_rare OR EXISTS (SELECT 1 FROM origin_labels l JOIN rare r ON r.task = l.task AND r.label = l.label WHERE l.task = o.task AND l.origin_id = o.origin_id) AS priority FROM origins o
 )"""
-_SPLIT = f"""{_ORIGINS}, firsts AS (SELECT origin_id, min(task) AS task FROM origins GROUP BY 1), ordered AS (
+_SPLIT = f"""{_ORIGINS}, firsts AS (SELECT origin_id, arg_min(task, CASE task WHEN 'ner_ner' THEN 1 WHEN 'ner_bee' THEN 2 ELSE 3 END) AS task FROM origins GROUP BY 1), ordered AS (
   SELECT *, row_number() OVER (PARTITION BY task ORDER BY md5('42:' || origin_id), origin_id) - 1 AS position, count(*) OVER (PARTITION BY task) AS size FROM firsts
 ), split AS (
   SELECT origin_id, task, CASE WHEN position < floor(size * 0.7::DOUBLE) THEN 'train' WHEN position < floor(size * 0.8::DOUBLE) THEN 'validation' ELSE 'test' END AS split FROM ordered

@@ -42,14 +42,11 @@ class Settings:
     id_prefix: str = ""
     seed: int = 42
     tokens: str = "bytes4"
+    model: str = "gemma-4"
     mode_ratios: tuple[tuple[str, float], ...] = dims.MODE_RATIOS
     limits: dict = field(default_factory=dict)
 
 
-#: Where the model's turn begins; prompts end there.
-SPLIT_TAG = "<|turn>model\n"
-
-
 def _chunks(docs: DataFrame, settings: Settings, buffer: int, fallback: str) -> DataFrame:
     """Routed pairs in chunks that fit, with each cut chunk's text narrowed to its tags."""
     pairs = routing.explode_documents(files.with_ids(docs, fallback, settings.id_prefix))
@@ -142,20 +139,37 @@ def _pool(rows: DataFrame, origins: DataFrame) -> DataFrame:
     return chunks.join(marked, ["task", "origin_id"])
 
 
-def evaluation(docs: DataFrame, settings: Settings, task: str, mode: str) -> DataFrame:
-    """row_id, task, origin_id, chunk_id, prompt, ground_truth of one task and mode, without examples."""
+def evaluation(docs: DataFrame, settings: Settings, task: str, mode: str, allow_empty: bool = False) -> DataFrame:
+    """row_id, task, mode, origin_id, chunk_id, prompt, ground_truth of one task and mode, without examples.
+    Documents without a pair of the task raise, unless ``allow_empty``."""
     if task in ("ner_bee_true_only", "bee_bee"):
         raise ValueError(f"task {task} has no evaluation")
     if mode not in dims.MODES:
         raise ValueError(f"unknown mode {mode}")
-    made = files.kept(render.io_json(_chunks(docs, settings, 2000, "eval").where(F.col("task") == task)))
+    chunks = _chunks(docs, settings, 2000, "eval").where(F.col("task") == task)
+    if not allow_empty and chunks.isEmpty():
+        raise ValueError(f"no pair of the documents belongs to task {task}")
+    made = files.kept(render.io_json(chunks))
+    tag, stop = dims.FORMATS[text.format_of(settings.model)]
     whole = _rendered(made, "_whole", settings, F.lit(mode), F.lit(""), F.col("input"), F.col("output"))
-    prompt, reply = text.answer_at(F.col("_whole"), SPLIT_TAG)
-    rows = whole.select("task", "origin_id", "chunk_id", prompt.alias("prompt"), text.without_stop_tokens(reply).alias("ground_truth"))
+    prompt, reply = text.answer_at(F.col("_whole"), tag)
+    rows = whole.select("task", F.lit(mode).alias("mode"), "origin_id", "chunk_id", prompt.alias("prompt"), text.without_stop_tokens(reply, stop).alias("ground_truth"))
     kept = render.within(files.kept(rows), ("prompt", "ground_truth"), settings.max_length, settings.tokens)
     return ranking.positions(kept, "task", "chunk_id", settings.seed, "row_id", "_rows").drop("_rows")
 
 
+def merged_records(predictions: DataFrame, rows: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
+    """One record per row: origin_id, expected_task, mode, pred_tuples, full_input, ground_truth, the tuples
+    with the sides that the documents' metadata has.  ``predictions``: row_id, prediction, full_input, ground_truth."""
+    both = answers.zip_by_row(predictions.select("row_id", "prediction", "full_input", "ground_truth"), rows.select("row_id", "task", "mode", "origin_id"))
+    named = answers.without_unsupported(both).withColumn("task", labels.task_name(F.col("task")))
+    parsed = answers.parse(named.withColumn("prediction", text.without_think_tags(F.col("prediction")))).withColumnRenamed("tuples", "found").drop("prediction")
+    parsed = answers.parse(parsed, "ground_truth").withColumnRenamed("tuples", "told").drop("ground_truth")
+    known = answers.metadata_rows(routing.explode_documents(files.with_ids(docs, "eval", settings.id_prefix)))
+    records = answers.merged_records(files.kept(parsed), files.kept(known), ("found", "told"), ("pred_tuples", "ground_truth"))
+    return records.select("row_id", "origin_id", F.col("task").alias("expected_task"), "mode", "pred_tuples", "full_input", "ground_truth")
+
+
 def merged(predictions: DataFrame, rows: DataFrame, docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
     """Relation tuples with their metadata, and the rate of tuples with metadata:
     of all rows and (``first_``) of the first 100.
