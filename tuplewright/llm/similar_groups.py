@@ -13,11 +13,11 @@ of ``simhash``:
    (for 0.8 and 12 tables all but five in a million).  Large buckets are dealt
    out as cells as in ``simhash``.
 3. The bit planes of a cell are compared with carry-save counters, and blocks
-   left when all lanes are past the radius, which lies ``DEVIATIONS`` standard
-   deviations beyond the stated similarity: for the shortest texts, in which ties
-   of the majority add to the distance (four against five shingles differ in
-   3/16 of the bits), still five.  Of each cell the spanning forest of least
-   distances is kept.
+   left when all lanes are past the radius, which lies three standard deviations
+   beyond the stated similarity.  In sets of up to ``SMALL`` shingles ties of
+   the majority add to the distance (four against five shingles differ in 3/16 of
+   the bits); pairs with one have ``WIDER`` more bits.  Of each cell the spanning
+   forest of least distances is kept.
 4. The links of the forests are verified on the shingle sets themselves; their
    connected components are groups found so far.
 5. Bits do not order pairs by similarity, so where a link of a bucket's forests
@@ -46,7 +46,7 @@ from .simhash import CELL, SLAB
 
 WORDS = 4
 TABLES = 12
-DEVIATIONS = 7
+SMALL, WIDER = 8, 23
 #: Bytes of shingle sets in a cell's part, where sets are dealt to cells.
 SETS = 16_000_000
 _ODD = [((2 * i + 1) * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019 * i) & 0xFFFFFFFFFFFFFFFF | 1 for i in range(1, WORDS + 2 * TABLES + 1)]
@@ -91,10 +91,10 @@ def keys_of(values: np.ndarray) -> np.ndarray:
 
 
 def radius_for(similarity: float) -> int:
-    """Bits that differ at this Jaccard similarity, and some deviations more."""
+    """Bits that differ at this Jaccard similarity, and three deviations more."""
     bits = 64 * WORDS
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * share + DEVIATIONS * math.sqrt(bits * share * (1 - share)))
+    return round(bits * share + 3 * math.sqrt(bits * share * (1 - share)))
 
 
 def distances(planes: np.ndarray, queries: np.ndarray, radius: int) -> np.ndarray:
@@ -150,8 +150,19 @@ def forest(apart: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def matrices(groups: list[np.ndarray], radius: int):
-    """(group, distances of all its pairs); a group is an (n, WORDS) array."""
+def near(apart: np.ndarray, sizes: np.ndarray, radius: int) -> np.ndarray:
+    """Distances of pairs, 255 if past the radius that their sizes have."""
+    small = sizes <= SMALL
+    return np.where((apart > radius) & ~(small[:, None] | small), np.uint8(255), apart)
+
+
+def matrices(groups: list[np.ndarray], sizes: list[np.ndarray], radius: int):
+    """(group, distances of all its pairs); a group is an (n, WORDS) array of fingerprints of sets of ``sizes``."""
+    for i, apart in _distances(groups, radius + WIDER):
+        yield i, near(apart, sizes[i], radius)
+
+
+def _distances(groups: list[np.ndarray], radius: int):
     for low, high in ((2, 2), (3, 8), (9, 64)):
         some = [i for i, g in enumerate(groups) if low <= len(g) <= high]
         for at in range(0, len(some), 2048 // high):
@@ -171,10 +182,10 @@ def matrices(groups: list[np.ndarray], radius: int):
             yield i, np.concatenate([distances(planes, g[at : at + 64, None], radius)[:, 0, : len(g)] for at in range(0, len(g), 64)])
 
 
-def links(groups: list[np.ndarray], radius: int) -> list[tuple[int, int, int]]:
+def links(groups: list[np.ndarray], sizes: list[np.ndarray], radius: int) -> list[tuple[int, int, int]]:
     """(group, a, b) of the forests."""
     found = []
-    for i, own in matrices(groups, radius):
+    for i, own in matrices(groups, sizes, radius):
         if len(own) == 2:
             if own[0, 1] < 255:
                 found.append((i, 0, 1))
@@ -215,7 +226,7 @@ _CELL = ("t", "bucket", "i", "j")
 
 def _gathered(batches, *columns: str):
     """Lists of whole cells (t, bucket, values of each column), of some 20 000
-    rows or 16 MB of the last column."""
+    rows or 16 MB of the last column, if that is of bytes."""
     held, size, last = [], 0, None
     for batch in batches:
         for *row, value in zip(*(batch.column(c).to_pylist() for c in (*_CELL, *columns))):
@@ -227,7 +238,7 @@ def _gathered(batches, *columns: str):
                 last = row[:4]
             for to, v in zip(held[-1][2:], (*row[4:], value)):
                 to.append(v)
-            size += 1 + len(value) // 800
+            size += 1 + (len(value) // 800 if isinstance(value, bytes) else 0)
     if held:
         yield held
 
@@ -236,6 +247,10 @@ def _fingerprints(cells) -> list[np.ndarray]:
     return [np.frombuffer(b"".join(c[3]), "<u8").reshape(-1, WORDS) for c in cells]
 
 
+def _sizes(cells) -> list[np.ndarray]:
+    return [np.array(c[4]) for c in cells]
+
+
 def _numbers(values: list[bytes]) -> np.ndarray:
     at: dict[bytes, int] = {}
     return np.array([at.setdefault(v, len(at)) for v in values])
@@ -244,8 +259,8 @@ def _numbers(values: list[bytes]) -> np.ndarray:
 def _compare(radius: int, out: T.StructType):
     def run(batches):
         to = arrow_schema(out)
-        for cells in _gathered(batches, "cls", "fp"):
-            rows = [(*cells[i][:2], *sorted((cells[i][2][a], cells[i][2][b]))) for i, a, b in links(_fingerprints(cells), radius)]
+        for cells in _gathered(batches, "cls", "fp", "n"):
+            rows = [(*cells[i][:2], *sorted((cells[i][2][a], cells[i][2][b]))) for i, a, b in links(_fingerprints(cells), _sizes(cells), radius)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(to)], schema=to)
 
     return run
@@ -258,7 +273,7 @@ def _left_open(radius: int, similarity: float, out: T.StructType):
         to = arrow_schema(out)
         for cells in _gathered(batches, "cls", "fp", "n", "component"):
             rows = []
-            for i, own in matrices(_fingerprints(cells), radius):
+            for i, own in matrices(_fingerprints(cells), _sizes(cells), radius):
                 some = open_pairs(own, _numbers(cells[i][5]), np.array(cells[i][4]), similarity).any(axis=1)
                 rows += [(*cells[i][:2], cells[i][2][k]) for k in np.flatnonzero(some).tolist()]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(to)], schema=to)
@@ -269,11 +284,11 @@ def _left_open(radius: int, similarity: float, out: T.StructType):
 def _join_open(radius: int, similarity: float, out: T.StructType):
     def run(batches):
         to = arrow_schema(out)
-        for cells in _gathered(batches, "cls", "fp", "component", "shingles"):
+        for cells in _gathered(batches, "cls", "fp", "n", "component", "shingles"):
             rows = []
-            for i, own in matrices(_fingerprints(cells), radius):
-                sets = [np.frombuffer(s, np.uint64) for s in cells[i][5]]
-                rows += [(cells[i][2][a], cells[i][2][b]) for a, b in joining(own, _numbers(cells[i][4]), sets, similarity)]
+            for i, own in matrices(_fingerprints(cells), _sizes(cells), radius):
+                sets = [np.frombuffer(s, np.uint64) for s in cells[i][6]]
+                rows += [(cells[i][2][a], cells[i][2][b]) for a, b in joining(own, _numbers(cells[i][5]), sets, similarity)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(to)], schema=to)
 
     return run
@@ -354,7 +369,7 @@ def groups(rows: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFram
     radius = radius_for(similarity)
     placed = classes.select("cls", "fp", "n", F.posexplode("keys").alias("t", "bucket"))
     met = schema(("t", "int"), ("bucket", "long"), ("u", "binary"), ("v", "binary"))
-    proposed = durable(_cells(placed, "fp").mapInArrow(_compare(radius, met), met))
+    proposed = durable(_cells(placed, "fp", "n").mapInArrow(_compare(radius, met), met))
     pairs = proposed.select("u", "v").distinct()
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("cls")).distinct().join(classes.select("cls", "digest"), "cls")
     kept = schema(("cls", "binary"), ("shingles", "binary"))
@@ -369,7 +384,7 @@ def groups(rows: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFram
     left = durable(_cells(labelled, "fp", "n", "component").mapInArrow(_left_open(radius, similarity, member), member).distinct())
     if not left.isEmpty():
         held = labelled.join(left, ["t", "bucket", "cls"]).join(sets, "cls").withColumn("size", F.length("shingles"))
-        more = durable(_cells(held, "fp", "component", "shingles", size="size").mapInArrow(_join_open(radius, similarity, pair), pair))
+        more = durable(_cells(held, "fp", "n", "component", "shingles", size="size").mapInArrow(_join_open(radius, similarity, pair), pair))
         if not more.isEmpty():
             found = components(verified.unionByName(more))
     return marked.select("id", "digest", "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left").select("id", "digest", "cls", F.coalesce("component", "cls").alias("component"))
