@@ -4,6 +4,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 PAIRS = """
 SELECT origin_id, pos, 'E' || CAST(pos AS STRING) AS pair_id,
@@ -30,5 +31,21 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(PAIRS, **tables)
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs as nested documents, their metadata without what a pair lacks; the text holds all mentions."""
+    row = F.struct("pos", "pair_id", "subject", "object", "relation", "has_meta", "subj_source", "subj_group", "obj_source", "obj_group")
+    packed = pairs(spark, sf_dir).groupBy("origin_id").agg(F.array_sort(F.collect_list(row)).alias("p"))
+
+    def side(p, s, mention):
+        return F.struct(p[f"{s}_source"].alias("source_type"), p[f"{s}_group"].alias("entity_group"), p[mention].alias("word"))
+
+    return packed.select(
+        F.col("origin_id").alias("id"),
+        F.array_join(F.transform("p", lambda p: F.concat(p["subject"], F.lit(" in "), p["object"])), ". ").alias("text"),
+        F.transform("p", lambda p: F.struct(p["pair_id"].alias("pair_id"), p["subject"].alias("subject"), p["object"].alias("object"), p["relation"].alias("relation"))).alias("candidate_pairs"),
+        F.transform(F.filter("p", lambda p: p["has_meta"]), lambda p: F.struct(p["pair_id"].alias("pair_id"), side(p, "subj", "subject").alias("subject"), side(p, "obj", "object").alias("object"))).alias("meta_info"),
+    )
+
+
 def pairs_sql() -> str:
     return re.sub(r"\{(\w+)\}", r"\1", PAIRS)

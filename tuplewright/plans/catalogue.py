@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import dims, labels, text
 from ..operators import answers, ranking, render, routing, sampling
-from . import carriers
+from ..sources import files
+from . import carriers, runs
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -66,7 +67,9 @@ _ORIGINS = f"""{_ROWS}, origins AS (
 origin_groups AS (SELECT DISTINCT task, origin_id, sg || '>' || og AS group_pair FROM rows_)"""
 _HEAD = "((task = 'ner_ner' AND label IN ('NO_RELATION', 'used_by', 'same_entity')) OR (task = 'ner_bee' AND label = '__bee_false__'))"
 _SUPPORT = f"{_ORIGINS}, support AS (SELECT task, label, count(*) AS support, CAST(sum(chunk_count) AS BIGINT) AS exposure FROM origin_labels GROUP BY ALL)"
-_RARE = f"{_SUPPORT}, rare AS (SELECT task, label FROM support WHERE (exposure < 100 OR support < 30) AND NOT {_HEAD})"
+#: Exposure and origins below which a label of these tables is rare.
+_FEW = {"chunks": 4000, "origins": 2400}
+_RARE = f"{_SUPPORT}, rare AS (SELECT task, label FROM support WHERE (exposure < {_FEW['chunks']} OR support < {_FEW['origins']}) AND NOT {_HEAD})"
 _PRIORITY = f"""{_RARE}, marked AS (
   SELECT o.task, o.origin_id, o.chunk_count, o.pair_count, o.has_static_rare OR EXISTS (SELECT 1 FROM origin_labels l JOIN rare r ON r.task = l.task AND r.label = l.label WHERE l.task = o.task AND l.origin_id = o.origin_id) AS priority FROM origins o
 )"""
@@ -105,19 +108,21 @@ def _support(spark, sf_dir):
     return routing.relation_support(_origins(spark, sf_dir))
 
 
-def _priority(spark, sf_dir):
-    origins = _origins(spark, sf_dir)
-    return routing.priority_origins(origins, routing.dynamic_rare(routing.relation_support(origins)))
+def _marked(origins):
+    return routing.priority_origins(origins, routing.dynamic_rare(routing.relation_support(origins), **_FEW))
 
 
-def _pool(spark, sf_dir):
-    chunks = _rows(spark, sf_dir).groupBy("task", "origin_id", "chunk_id").agg(F.count("*").alias("pair_count"))
-    return chunks.join(_priority(spark, sf_dir).select("task", "origin_id", "priority"), ["task", "origin_id"])
+def _priority(spark, sf_dir):
+    return _marked(files.kept(_origins(spark, sf_dir)))
 
 
 def _train_pool(spark, sf_dir):
-    train = sampling.split(_origins(spark, sf_dir)).where("split = 'train'")
-    return _pool(spark, sf_dir).join(train, "origin_id", "left_semi")
+    """Chunks of training origins; the profiled pairs and the profiles are written once and read by each branch."""
+    rows = files.kept(_rows(spark, sf_dir))
+    origins = files.kept(routing.origin_profile(rows))
+    chunks = rows.groupBy("task", "origin_id", "chunk_id").agg(F.count("*").alias("pair_count"), F.array_sort(F.collect_set("label")).alias("rel_labels"))
+    train = sampling.split(origins).where("split = 'train'")
+    return files.kept(chunks.join(_marked(origins).select("task", "origin_id", "priority"), ["task", "origin_id"]).join(train, "origin_id", "left_semi"))
 
 
 # ---- carriers and labels ----------------------------------------------------------
@@ -271,7 +276,7 @@ def group_floor(spark, sf_dir):
 
 @_register(f"WITH {_RARE} SELECT * FROM rare")
 def dynamic_rare(spark, sf_dir):
-    return routing.dynamic_rare(_support(spark, sf_dir))
+    return routing.dynamic_rare(_support(spark, sf_dir), **_FEW)
 
 
 @_register(f"WITH {_PRIORITY} SELECT task, origin_id, priority FROM marked")
@@ -351,12 +356,36 @@ def fewshot_pool(spark, sf_dir):
     return _train_pool(spark, sf_dir).select("task", "chunk_id", "pair_count", "priority")
 
 
-@_register(None)
+def _walk(name: str, pool: str, own: str = "NULL::VARCHAR") -> str:
+    """CTEs: ``pool`` (task, own, chunk_id, pair_count, late) walked in order, each chunk taken if the
+    pairs stay within 12, until there are 8 -> ``name`` (task, own, k, chunk_id)."""
+    return f"""{name}_seats AS (
+  SELECT task, {own} AS own, chunk_id, pair_count AS n, row_number() OVER (PARTITION BY task, {own} ORDER BY late, md5('42:' || chunk_id), chunk_id) AS k FROM {pool} WHERE pair_count BETWEEN 1 AND 12
+), {name}_fold AS (
+  SELECT DISTINCT task, own, 0::BIGINT AS k, 0::BIGINT AS pairs, NULL::VARCHAR AS chunk_id FROM {name}_seats
+  UNION ALL SELECT f.task, f.own, s.k, f.pairs + CASE WHEN f.pairs + s.n <= 12 THEN s.n ELSE 0 END, CASE WHEN f.pairs + s.n <= 12 THEN s.chunk_id END
+  FROM {name}_fold f JOIN {name}_seats s ON s.task = f.task AND s.own IS NOT DISTINCT FROM f.own AND s.k = f.k + 1 WHERE f.pairs < 8
+), {name} AS (SELECT task, own, k, chunk_id FROM {name}_fold WHERE chunk_id IS NOT NULL)"""
+
+
+_POOL = f"""{_CHUNKS}, {_SPLIT[len(_ORIGINS) + 2:]}, pool AS (
+  SELECT c.task, c.origin_id, c.chunk_id, c.pair_count, NOT m.priority AS late FROM chunk_rows c JOIN marked m USING (task, origin_id) WHERE origin_id IN (SELECT origin_id FROM split WHERE split = 'train')
+)"""
+_SHOWN = """shown AS (SELECT DISTINCT p.task, p.origin_id AS own FROM pool p JOIN picked k ON k.task = p.task AND k.chunk_id = p.chunk_id),
+others AS (SELECT p.*, s.own FROM pool p JOIN shown s ON s.task = p.task AND s.own <> p.origin_id)"""
+_DEMOS = f"{_POOL}, {_walk('picked', 'pool')}, {_SHOWN}, {_walk('again', 'others', 'own')}"
+
+
+@_register(f"WITH RECURSIVE {_POOL}, {_walk('picked', 'pool')} SELECT task, CAST(row_number() OVER (PARTITION BY task ORDER BY k) - 1 AS INT) AS place, chunk_id FROM picked")
 def fewshot_pick(spark, sf_dir):
     return sampling.pick_examples(_train_pool(spark, sf_dir))
 
 
-@_register(None)
+@_register(
+    f"""WITH RECURSIVE {_DEMOS}, common AS (SELECT task, string_agg(chunk_id, ',' ORDER BY chunk_id) AS examples FROM picked GROUP BY task),
+alternate AS (SELECT task, own, string_agg(chunk_id, ',' ORDER BY chunk_id) AS examples FROM again GROUP BY task, own)
+SELECT p.task, p.chunk_id, coalesce(a.examples, c.examples) AS examples FROM pool p JOIN common c USING (task) LEFT JOIN alternate a ON a.task = p.task AND a.own = p.origin_id"""
+)
 def self_demo_guard(spark, sf_dir):
     """The examples of each row: the common ones, or for an origin among them a pick without it."""
     pool = _train_pool(spark, sf_dir)
@@ -371,6 +400,55 @@ def self_demo_guard(spark, sf_dir):
     return rows.select("task", "chunk_id", F.coalesce("alternate", "common").alias("examples"))
 
 
+_GOLD = f"""{_POOL}, gold AS (SELECT task, origin_id, 'g' || chunk_id AS chunk_id, pair_count, late FROM pool WHERE starts_with(md5('1:' || origin_id), '0')),
+{_walk('primary_', 'gold')}, have AS (
+  SELECT p.task, any_value(p.used) AS used, list(DISTINCT r.label) AS labels FROM (SELECT k.task, k.chunk_id, sum(g.pair_count) OVER (PARTITION BY k.task) AS used FROM primary_ k JOIN gold g ON g.task = k.task AND g.chunk_id = k.chunk_id) p
+  JOIN rows_ r ON r.task = p.task AND 'g' || r.chunk_id = p.chunk_id GROUP BY p.task
+), lacking AS (
+  SELECT p.task, p.chunk_id, p.pair_count, p.late, coalesce(h.used, 0) AS used FROM pool p LEFT JOIN have h USING (task)
+  WHERE EXISTS (SELECT 1 FROM rows_ r WHERE r.task = p.task AND r.chunk_id = p.chunk_id AND r.label IN ({_quoted(dims.RARE)}) AND NOT coalesce(list_contains(h.labels, r.label), false))
+), first_ AS (SELECT *, row_number() OVER (PARTITION BY task ORDER BY late, md5('42:' || chunk_id), chunk_id) AS r FROM lacking)"""
+
+
+@_register(
+    f"""WITH RECURSIVE {_GOLD} SELECT task, chunk_id, CAST(row_number() OVER (PARTITION BY task ORDER BY k) - 1 AS INT) AS place, 'gold' AS origin FROM primary_
+UNION ALL SELECT task, chunk_id, 12, 'main' FROM first_ WHERE r = 1 AND pair_count + used <= 12"""
+)
+def gold_first(spark, sf_dir):
+    """Examples from a sixteenth of the origins, then one with a rare label that they lack."""
+    main = _train_pool(spark, sf_dir)
+    gold = main.where(F.md5(F.concat(F.lit("1:"), "origin_id").cast("binary")).startswith("0")).withColumn("chunk_id", F.concat(F.lit("g"), "chunk_id"))
+    return sampling.gold_first(gold, main)
+
+
+@_register(
+    f"""WITH RECURSIVE {_CHUNKED}, origins AS (SELECT task, origin_id, count(DISTINCT chunk_id) AS chunk_count FROM chunked GROUP BY ALL), seated AS (
+  SELECT task, origin_id, chunk_count, row_number() OVER (PARTITION BY task ORDER BY md5('42:' || origin_id), origin_id) AS k FROM origins
+), fold AS (
+  SELECT task, 0::BIGINT AS k, 0::BIGINT AS taken, NULL::VARCHAR AS origin_id FROM (SELECT DISTINCT task FROM seated)
+  UNION ALL SELECT f.task, f.k + 1, f.taken + CASE WHEN f.taken + s.chunk_count <= 300 THEN s.chunk_count ELSE 0 END, CASE WHEN f.taken + s.chunk_count <= 300 THEN s.origin_id END FROM fold f JOIN seated s ON s.task = f.task AND s.k = f.k + 1 WHERE f.taken < 300
+) SELECT c.task, c.chunk_id, count(*) AS pairs FROM chunked c JOIN fold f ON f.task = c.task AND f.origin_id = c.origin_id GROUP BY ALL"""
+)
+def selected_chunks(spark, sf_dir):
+    chunks = files.kept(_chunks(spark, sf_dir).select("task", "origin_id", "chunk_id"))
+    origins = chunks.groupBy("task", "origin_id").agg(F.size(F.collect_set("chunk_id")).alias("chunk_count"))
+    return chunks.join(sampling.skip_greedy(origins, 300), ["task", "origin_id"], "left_semi").groupBy("task", "chunk_id").agg(F.count("*").alias("pairs"))
+
+
+@_register(
+    f"""WITH {_SUPPORT}, g AS (SELECT task, group_pair, count(*) AS support FROM origin_groups GROUP BY ALL), chosen AS (SELECT * FROM origins WHERE starts_with(md5('42:' || origin_id), '00')),
+floors AS (SELECT task, 'relation' AS kind, label AS name, CAST(greatest(20, least(100, floor(0.25::DOUBLE * exposure))) AS INT) AS floor FROM support WHERE exposure >= 20 AND NOT {_HEAD}
+  UNION ALL SELECT task, 'group', group_pair, CAST(greatest(10, least(60, floor(0.15::DOUBLE * support))) AS INT) FROM g WHERE support >= 10),
+held AS (SELECT l.task, 'relation' AS kind, l.label AS name, c.chunk_count FROM origin_labels l JOIN chosen c USING (task, origin_id) UNION ALL SELECT o.task, 'group', o.group_pair, c.chunk_count FROM origin_groups o JOIN chosen c USING (task, origin_id)),
+taken AS (SELECT task, kind, name, CAST(sum(chunk_count) AS BIGINT) AS taken FROM held GROUP BY ALL)
+SELECT f.task, f.kind, f.name, f.floor, coalesce(t.taken, 0) AS taken FROM floors f LEFT JOIN taken t USING (task, kind, name) WHERE coalesce(t.taken, 0) < f.floor"""
+)
+def unmet_floors(spark, sf_dir):
+    rows = files.kept(_rows(spark, sf_dir))
+    chosen = rows.select("task", "origin_id").distinct().where(F.md5(F.concat(F.lit("42:"), "origin_id").cast("binary")).startswith("00"))
+    return sampling.unmet_floors(rows, chosen)
+
+
 @_register("WITH m AS (SELECT count(*) AS n FROM documents), g AS (SELECT doc_id, row_number() OVER (ORDER BY md5('3407:' || CAST(doc_id AS VARCHAR)), doc_id) - 1 AS place, count(*) OVER () AS k FROM labels WHERE quality = 1), w AS (SELECT *, CAST(greatest(k, round_even(n * 0.1::DOUBLE / 0.9::DOUBLE, 0)) AS BIGINT) AS want FROM g, m) SELECT 'main' AS origin, 1 AS copies, count(*) AS n FROM documents GROUP BY ALL UNION ALL SELECT 'gold', CAST(want // k + CASE WHEN place < want % k THEN 1 ELSE 0 END AS INT), count(*) FROM w GROUP BY 2")
 def interleave_gold(spark, sf_dir):
     main = _read(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_key"))
