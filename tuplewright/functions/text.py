@@ -66,6 +66,11 @@ def occurrences(col: Column, needle: str) -> Column:
     return ((F.length(col) - F.length(F.replace(col, F.lit(needle), F.lit("")))) / len(needle)).cast("int")
 
 
+def names_any(col: Column, names) -> Column:
+    """Whether a text holds one of the names in double quotes."""
+    return col.rlike('"(' + "|".join(map(re.escape, names)) + ')"')
+
+
 def strip_thinking(col: Column) -> Column:
     parts = F.split(col, r"<channel\|>")
     return strip(F.array_join(F.transform(parts, lambda p: F.substring_index(p, "<|channel>", 1)), ""))

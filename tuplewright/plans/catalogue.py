@@ -498,17 +498,21 @@ def model_format(spark, sf_dir):
 _ENTRY = """'{{' || chr(10) || '{i}  "pair_id": "[' || pair_id || ']",' || chr(10) || '{i}  "subject": "' || subj || '",' || chr(10) || '{i}  "' || key || '": ' || {v} || ',' || chr(10) || '{i}  "object": "' || object || '"' || chr(10) || '{i}}}'"""
 
 
-@_register(
-    f"""WITH {_CHUNKED}, e AS (
-  SELECT task, origin_id, chunk_id, pos, pair_id, object, CASE WHEN task = 'ner_bee' THEN 'is_relational' ELSE 'relation' END AS key, regexp_replace(subject, '(\\[[^\\]]+\\])\\s*(.*?)\\s*(\\[/[^\\]]+\\])', '\\1\\2\\3', 'g') AS subj,
-    CASE WHEN task = 'ner_bee' THEN CASE WHEN {_NEGATIVE} THEN 'false' ELSE 'true' END ELSE {_F1} END AS label FROM chunked)
-SELECT task, chunk_id, '{{' || chr(10) || '  "text": "' || origin_id || '",' || chr(10) || '  "candidate_pairs": [' || chr(10) || string_agg('    ' || {_ENTRY.format(i="    ", v="'null'")}, ',' || chr(10) ORDER BY pos) || chr(10) || '  ]' || chr(10) || '}}' AS input,
+def _io(text: str) -> str:
+    """CTE io (task, origin_id, chunk_id, input, output) of ``chunked``; ``text``: SQL of a chunk's text."""
+    return f"""io_pairs AS (
+  SELECT task, origin_id, chunk_id, pos, pair_id, object, {text} AS body, CASE WHEN task = 'ner_bee' THEN 'is_relational' ELSE 'relation' END AS key, regexp_replace(subject, '(\\[[^\\]]+\\])\\s*(.*?)\\s*(\\[/[^\\]]+\\])', '\\1\\2\\3', 'g') AS subj,
+    CASE WHEN task = 'ner_bee' THEN CASE WHEN {_NEGATIVE} THEN 'false' ELSE 'true' END ELSE {_F1} END AS label FROM chunked
+), io AS (SELECT task, origin_id, chunk_id, '{{' || chr(10) || '  "text": ' || to_json(any_value(body)) || ',' || chr(10) || '  "candidate_pairs": [' || chr(10) || string_agg('    ' || {_ENTRY.format(i="    ", v="'null'")}, ',' || chr(10) ORDER BY pos) || chr(10) || '  ]' || chr(10) || '}}' AS input,
   '[' || chr(10) || string_agg('  ' || {_ENTRY.format(i="  ", v="'" + chr(34) + "' || label || '" + chr(34) + "'")}, ',' || chr(10) ORDER BY pos) || chr(10) || ']' AS output
-FROM e GROUP BY task, origin_id, chunk_id"""
-)
+FROM io_pairs GROUP BY task, origin_id, chunk_id)"""
+
+
+@_register(f"""WITH {_CHUNKED}, {_io("chr(9) || '\"' || origin_id || '\" é' || chr(10) || '\\ [A1]/'")} SELECT task, chunk_id, input, output FROM io""")
 def io_json(spark, sf_dir):
-    chunks = _chunks(spark, sf_dir).withColumn("text", F.col("origin_id"))
-    return render.io_json(chunks).select("task", "chunk_id", "input", "output")
+    """Texts with quotes, a tab, a line end, a backslash and letters beyond ASCII."""
+    body = F.concat(F.lit('\t"'), "origin_id", F.lit('" é\n\\ [A1]/'))
+    return render.io_json(_chunks(spark, sf_dir).withColumn("text", body)).select("task", "chunk_id", "input", "output")
 
 
 @_register("SELECT c_custkey, concat_ws(chr(10) || chr(10), CASE WHEN c_custkey % 2 = 0 THEN '### Description:' || chr(10) || c_mktsegment END, CASE WHEN c_custkey % 3 = 0 THEN '### Few-shot Examples:' || chr(10) || '### Example 1' || chr(10) || c_name || chr(10) || '### Example 1 Response' || chr(10) || 'x' || chr(10) || repeat('-', 30) END, '### Output Format:' || chr(10) || 'JSON', '### Input:' || chr(10) || c_name) AS prompt, '### Response:' || chr(10) || c_mktsegment AS answer FROM customer")
@@ -595,3 +599,107 @@ def train_pipeline_stats(spark, sf_dir):
     chunks = _chunks(spark, sf_dir).select("task", "origin_id", "chunk_id").distinct()
     splits = sampling.split(chunks.select("task", "origin_id").distinct())
     return sampling.with_split(sampling.mode_partition(chunks), splits).groupBy("task", "mode", "split").agg(F.count("*").alias("rows_out"))
+
+
+# ---- composed runs over nested documents -------------------------------------------
+_TEMPLATES = {t: runs.Template(f"Judge {t}.", f"Find the relations of {t}.", "Find them.", "A JSON list", "Think, then a JSON list") for t in ("ner_ner", "ner_bee")}
+
+
+def _whole(sql: str) -> str:
+    """Chunks that are whole documents, and the rarity that the runs assume."""
+    cut = "CASE WHEN n > 2 THEN origin_id || '_chunk_' || CAST(place // 2 AS VARCHAR) ELSE origin_id END AS chunk_id"
+    few = f"exposure < {_FEW['chunks']} OR support < {_FEW['origins']}"
+    return sql.replace(cut, "origin_id AS chunk_id").replace(few, "exposure < 100 OR support < 30")
+
+
+_TEXTS = "texts AS (SELECT origin_id, string_agg(subject || ' in ' || object, '. ' ORDER BY pos) AS document FROM pairs GROUP BY 1)"
+_WHOLE_IO = _io("(SELECT document FROM texts WHERE texts.origin_id = chunked.origin_id)")
+_SECTIONS = "'### Output Format:' || chr(10) || 'A JSON list' || chr(10) || chr(10) || '### Input:' || chr(10) || io.input"
+_BOS = "'<bos><|turn>system' || chr(10) || '### System Prompt:' || chr(10) || 'Judge ' || io.task || '.<turn|>' || chr(10) || '<|turn>user' || chr(10)"
+_MODEL_TURN = "'<turn|>' || chr(10) || '<|turn>model' || chr(10)"
+_BLOCK = "string_agg('### Example ' || place || chr(10) || input || chr(10) || '### Example ' || place || ' Response' || chr(10) || output || chr(10) || repeat('-', 30), chr(10) ORDER BY place)"
+
+
+@_register(
+    f"""WITH {_CLASSIFIED} SELECT task, 'n_' || origin_id AS origin_id, pos, pair_id, relation, CASE WHEN has_meta THEN subj_group END AS subj_group, CASE WHEN has_meta THEN object END AS obj_word FROM classified"""
+)
+def nested_routing(spark, sf_dir):
+    docs = files.with_ids(carriers.documents(spark, sf_dir), prefix="n_")
+    return routing.classify(routing.explode_documents(docs)).select("task", "origin_id", "pos", "pair_id", "relation", "subj_group", "obj_word")
+
+
+@_register(
+    f"""WITH {_whole(_CHUNKED)}, {_TEXTS}, {_WHOLE_IO}
+SELECT row_number() OVER (ORDER BY md5('42:' || chunk_id), chunk_id) - 1 AS row_id, io.task, 'no_fewshot' AS mode, origin_id, chunk_id,
+  md5({_BOS} || '### Description:' || chr(10) || 'Find the relations of ner_bee.' || chr(10) || chr(10) || {_SECTIONS} || {_MODEL_TURN}) AS prompt, md5('### Response:' || chr(10) || output) AS ground_truth
+FROM io WHERE io.task = 'ner_bee'"""
+)
+def evaluation_rows(spark, sf_dir):
+    rows = runs.evaluation(carriers.documents(spark, sf_dir), runs.Settings(_TEMPLATES), "ner_bee", "no_fewshot")
+    return rows.select("row_id", "task", "mode", "origin_id", "chunk_id", F.md5("prompt").alias("prompt"), F.md5("ground_truth").alias("ground_truth"))
+
+
+@_register(
+    f"""WITH RECURSIVE {_whole(_DEMOS)}, {_MODES[len(_CHUNKS) + 2:]}, {_TEXTS}, {_WHOLE_IO}, placed_ AS (
+  SELECT task, NULL::VARCHAR AS own, chunk_id, row_number() OVER (PARTITION BY task ORDER BY k) AS place FROM picked
+  UNION ALL SELECT task, own, chunk_id, row_number() OVER (PARTITION BY task, own ORDER BY k) FROM again
+), blocks AS (SELECT p.task, p.own, {_BLOCK} AS block FROM placed_ p JOIN io ON io.task = p.task AND io.chunk_id = p.chunk_id GROUP BY ALL)
+SELECT io.task, io.origin_id, io.chunk_id, m.mode, coalesce(s.split, 'train') AS split, md5({_BOS}
+  || CASE m.mode WHEN 'full_summary' THEN '### Description:' || chr(10) || 'Find them.' || chr(10) || chr(10) WHEN 'system_only' THEN '' ELSE '### Description:' || chr(10) || 'Find the relations of ' || io.task || '.' || chr(10) || chr(10) END
+  || CASE WHEN m.mode IN ('full_detailed', 'full_summary') THEN '### Few-shot Examples:' || chr(10) || coalesce(own.block, common.block) || chr(10) || chr(10) ELSE '' END
+  || {_SECTIONS} || {_MODEL_TURN} || '### Response:' || chr(10) || io.output || '<turn|>' || chr(10)) AS text
+FROM io JOIN modes m ON m.task = io.task AND m.chunk_id = io.chunk_id LEFT JOIN split s ON s.origin_id = io.origin_id
+LEFT JOIN blocks common ON common.task = io.task AND common.own IS NULL LEFT JOIN blocks own ON own.task = io.task AND own.own = io.origin_id WHERE m.mode IS NOT NULL"""
+)
+def training_rows(spark, sf_dir):
+    rows = runs.training(carriers.documents(spark, sf_dir), runs.Settings(_TEMPLATES, target_train=None))
+    return rows.select("task", "origin_id", "chunk_id", "mode", "split", F.md5("text").alias("text"))
+
+
+def _document_answers(spark, sf_dir):
+    """One answer per document and task that lists all its pairs; half of them broken by missing commas."""
+    rows = _classified(spark, sf_dir)
+    broken = F.length("origin_id") % 2 == 0
+    key = F.when(F.col("task") == "ner_bee", "is_relational").otherwise("relation")
+    item = F.concat(F.lit('{"pair_id": "'), "pair_id", F.lit('"'), F.when(broken, F.lit(" ")).otherwise(F.lit(", ")), F.lit('"subject": {"word": "W"}, "object": "o", "'), key, F.lit('": "'), labels.binary_label(F.col("task"), F.col("relation")), F.lit('"}'))
+    plain = F.replace(item, F.lit('{"word": "W"}'), F.lit('"W"'))
+    listed = rows.select("task", "origin_id", "pos", "pair_id", F.when(broken, plain).otherwise(item).alias("item"))
+    packed = listed.groupBy("task", "origin_id").agg(F.array_sort(F.collect_list(F.struct("pos", "item"))).alias("p"))
+    made = packed.select("origin_id", labels.task_name(F.col("task")).alias("task"), F.concat(F.lit("```json\n["), F.array_join(F.col("p.item"), ", "), F.lit("]```")).alias("prediction"))
+    return made.withColumn("row_id", F.xxhash64("task", "origin_id"))
+
+
+@_register(
+    f"""WITH {_CLASSIFIED}, meta AS (SELECT origin_id, '[' || pair_id || ']' AS pair_id, subj_source, subj_group, subject, obj_source, obj_group, object FROM pairs WHERE has_meta AND NOT (coalesce(upper(subj_source), '') = 'BEE' AND coalesce(upper(obj_source), '') = 'BEE')),
+told AS (SELECT c.origin_id, CASE c.task WHEN 'ner_bee' THEN 'NER-BEE' ELSE 'NER-NER' END AS expected_task, '[' || c.pair_id || ']' AS pair_id,
+  CASE WHEN task = 'ner_bee' THEN CASE WHEN relation = 'NO_RELATION' THEN 'false' ELSE 'true' END WHEN relation = '' AND length(origin_id) % 2 = 0 THEN 'true' ELSE trim(lower(relation)) END AS relation FROM classified c)
+SELECT t.origin_id, t.expected_task, coalesce(string_agg(concat_ws('|', m.pair_id, m.subj_source, m.subj_group, m.subject, m.obj_source, m.obj_group, m.object, t.relation), ';' ORDER BY t.pair_id) FILTER (m.pair_id IS NOT NULL), '') AS pred_tuples
+FROM told t LEFT JOIN meta m ON m.origin_id = t.origin_id AND m.pair_id = t.pair_id GROUP BY ALL"""
+)
+def merged_records(spark, sf_dir):
+    parsed = answers.parse(_document_answers(spark, sf_dir)).withColumn("tuples", F.transform("tuples", lambda t: t.withField("pair_id", F.concat(F.lit("["), t["pair_id"], F.lit("]"))))).drop("prediction")
+    known = answers.metadata_rows(routing.explode_documents(files.with_ids(carriers.documents(spark, sf_dir))))
+    records = answers.merged_records(files.kept(parsed), files.kept(known))
+
+    def line(t):
+        return F.concat_ws("|", t["pair_id"], *[t[s][f] for s in ("subject", "object") for f in ("source_type", "entity_group", "word")], t["relation"])
+
+    return records.select("origin_id", F.col("task").alias("expected_task"), F.array_join(F.transform("pred_tuples", line), ";").alias("pred_tuples"))
+
+
+@_register(
+    """WITH t AS (SELECT conv_id, turn, role, length(trim(coalesce(text, ''), E' \\n\\t\\r')) + length('<turn|>') + 1 AS n, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS after FROM conversations),
+spans AS (SELECT conv_id, role, n, sum(CASE WHEN role = 'assistant' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY turn) AS seen FROM t)
+SELECT conv_id, count(*) FILTER (role = 'assistant') AS spans, CAST(coalesce(sum(n) FILTER (role = 'assistant'), 0) AS BIGINT) AS learned FROM spans GROUP BY 1"""
+)
+def response_spans(spark, sf_dir):
+    shown = render.chats(_read(spark, sf_dir, "conversations")).select("conv_id", text.response_spans(F.col("transcript")).alias("spans"))
+    learned = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return shown.select("conv_id", F.size("spans").cast("long").alias("spans"), learned.alias("learned"))
+
+
+@_register(f"WITH {_CHUNKED} SELECT task, chunk_id, bool_or(relation IN ({_quoted(dims.RARE)})) AS rare FROM chunked WHERE task = 'ner_ner' GROUP BY ALL")
+def rare_in_output(spark, sf_dir):
+    """Chunks whose answer names a rare relation, in quotes."""
+    made = render.io_json(_chunks(spark, sf_dir).where("task = 'ner_ner'").withColumn("text", F.lit("")))
+    return made.select("task", "chunk_id", text.names_any(F.col("output"), dims.RARE).alias("rare"))
