@@ -119,10 +119,11 @@ def digest_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     ordered = base.repartitionByRange(shuffle_partitions(spark), "id").sortWithinPartitions("id", "text")
     rows = durable(ordered.mapInArrow(stream, out))
-    # One row per task of the range partitioning: as few as there are partitions.
-    ends = rows.where("task is not null").select("id", "task", "first", "last")
+    # One row per task of the range partitioning; the window sees their numbers alone, the texts are joined.
+    ends = rows.where("task is not null")
     w = Window.orderBy("task")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = ends.select("id", "last", F.coalesce(F.lead("first").over(w), F.first("first").over(whole)).alias("after"))
+    order = ends.select("task", F.coalesce(F.lead("task").over(w), F.first("task").over(whole)).alias("next"))
+    ends = ends.select("id", "last", "task").join(order, "task").join(ends.select(F.col("task").alias("next"), F.col("first").alias("after")), "next").select("id", "last", "after")
     done = rows.where("task is null").select(*made.names).unionByName(ends.mapInArrow(close, made))
     return done.withColumnRenamed("id", id_col)
