@@ -326,6 +326,22 @@ def test_pii_redaction(spark):
     assert [r[0] for r in df.select(pii.redacted(F.col("text"))).collect()] == ["mail <EMAIL>, ip <IP>!", "nothing"]
 
 
+def test_pii_redaction_equals_a_plain_walk(spark, docs, monkeypatch):
+    monkeypatch.setattr(pii, "BLOCK", 7)
+    monkeypatch.setattr(pii, "RUN", 3)
+    more = ["a@b.cc " * 40, "é1.2.3.4\nx@y.zz😀+12 345 678 901 a@b.co_m@x.org +1.2.3.4.5", "4111 1111 1111 1111" * 3, "", None]
+    df = docs.where("length(text) < 3000").select("text").unionByName(spark.createDataFrame([(t,) for t in more], "text string"))
+    found = df.withColumn("doc_id", F.monotonically_increasing_id()).cache()
+    spans = {r.doc_id: r.spans for r in pii.find_pii(found).collect()}
+    for r in found.select("doc_id", "text", pii.redacted(F.coalesce("text", F.lit(""))).alias("out")).collect():
+        text, at, out = r.text or "", 0, ""
+        for s in spans[r.doc_id]:
+            if s.start >= at:
+                out += text[at : s.start] + f"<{s.kind.upper()}>"
+            at = max(at, s.end)
+        assert r.out == out + text[at:]
+
+
 def test_class_lm(docs, rows, empty):
     known = [(k, t) for k, t in rows if k is not None]
     tokens = [(k, [*lowered(t), None]) for k, t in rows]

@@ -31,6 +31,8 @@ CONTEXT_CHARS = 40
 CONTEXT_BONUS = 0.35
 #: Elements in a run of the two-level prefix sums.
 RUN = 512
+#: Code points of a block of a text that is redacted.
+BLOCK = 4096
 
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 
@@ -58,19 +60,23 @@ _ORDER = {k.name: i for i, k in enumerate(KINDS)}
 _EMPTY = "array<struct<start:int,ord:int,end:int,score:double>>"
 
 
-def _cumulative(lengths: Column, into: str = "array<int>") -> Column:
-    """Inclusive running sums of an int array, in runs of ``RUN`` elements so
-    that appending stays cheap for very long arrays."""
+def _running(values: Column, combine, into: str = "array<int>") -> Column:
+    """Inclusive running sums or maxima of an int array from 0 on, in runs of ``RUN``
+    elements so that appending stays cheap for very long arrays."""
 
     def running(xs: Column, start: Column) -> Column:
-        first = F.struct(start.alias("sum"), F.array().cast(into).alias("all"))
-        return F.aggregate(xs, first, lambda a, x: F.struct((a["sum"] + x).alias("sum"), F.concat(a["all"], F.array(a["sum"] + x)).alias("all")), lambda a: a["all"])
+        first = F.struct(start.alias("so_far"), F.array().cast(into).alias("all"))
+        return F.aggregate(xs, first, lambda a, x: F.struct(combine(a["so_far"], x).alias("so_far"), F.concat(a["all"], F.array(combine(a["so_far"], x))).alias("all")), lambda a: a["all"])
 
     def by_runs(xs: Column) -> Column:
         runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / RUN).cast("int")), lambda k: F.slice(xs, k * RUN + 1, RUN))
-        return let(runs, lambda rs: let(running(F.transform(rs, lambda r: F.aggregate(r, F.lit(0), lambda a, x: a + x)), F.lit(0)), lambda ends: F.flatten(F.transform(rs, lambda r, k: running(r, F.when(k == 0, F.lit(0)).otherwise(F.element_at(ends, k)))))))
+        return let(runs, lambda rs: let(running(F.transform(rs, lambda r: F.aggregate(r, F.lit(0), combine)), F.lit(0)), lambda ends: F.flatten(F.transform(rs, lambda r, k: running(r, F.when(k == 0, F.lit(0)).otherwise(F.element_at(ends, k)))))))
 
-    return let(lengths, lambda xs: F.when(F.size(xs) == 0, F.array().cast(into)).otherwise(by_runs(xs)))
+    return let(values, lambda xs: F.when(F.size(xs) == 0, F.array().cast(into)).otherwise(by_runs(xs)))
+
+
+def _cumulative(lengths: Column) -> Column:
+    return _running(lengths, lambda a, x: a + x)
 
 
 def _digits(match: Column) -> Column:
@@ -185,19 +191,26 @@ def digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def redacted(text: Column, min_score: float = 0.5) -> Column:
     """The text with every span replaced by ``<KIND>``; of spans that
-    overlap, the first by start names the place and the rest are taken with it."""
+    overlap, the first by start names the place and the rest are taken with it.
+
+    The text is cut into blocks once and every piece between spans is taken from its
+    own blocks, so the work is in proportion to the text, however many spans it has."""
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+    def piece(parts: Column, begin: Column, end: Column) -> Column:
+        first, last = F.floor(begin / BLOCK).cast("int"), F.floor(end / BLOCK).cast("int")
+        return F.substr(F.array_join(F.slice(parts, first + 1, last - first + 1), ""), begin % BLOCK + 1, end - begin)
 
-    def build(spans: Column) -> Column:
-        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    def build(spans: Column, parts: Column, ends: Column) -> Column:
+        def placed(s: Column, k: Column) -> Column:
+            return F.struct(F.when(k == 0, F.lit(0)).otherwise(F.get(ends, k - 1)).alias("at"), s["start"].alias("start"), s["kind"].alias("kind"))
 
-        def step(acc: Column, s: Column) -> Column:
-            tag = F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))
-            cut = F.substr(text, acc["at"] + 1, s["start"] - acc["at"])
-            return F.struct(
-                F.greatest(acc["at"], s["end"]).alias("at"),
-                F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.array(cut, tag))).otherwise(acc["out"]).alias("out"),
-            )
+        kept = F.filter(F.transform(spans, placed), lambda s: s["start"] >= s["at"])
+        told = F.transform(kept, lambda s: F.concat(piece(parts, s["at"], s["start"]), F.lit("<"), F.upper(s["kind"]), F.lit(">")))
+        return F.concat(F.array_join(told, ""), piece(parts, F.element_at(ends, -1), F.length(text)))
 
-        return F.aggregate(spans, first, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(text, acc["at"] + 1)))
+    def made(spans: Column) -> Column:
+        ends = _running(F.transform(spans, lambda s: s["end"]), lambda a, x: F.greatest(a, x))
+        return F.when(F.size(spans) == 0, text).otherwise(let(blocks, lambda parts: let(ends, lambda es: build(spans, parts, es))))
 
-    return let(_named(_all_spans(text, min_score)), lambda spans: F.when(F.size(spans) == 0, text).otherwise(build(spans)))
+    return let(_named(_all_spans(text, min_score)), made)
