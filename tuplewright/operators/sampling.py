@@ -34,13 +34,26 @@ def skip_greedy(origins: DataFrame, quota_: int, seed: int = 42) -> DataFrame:
     for by in (("task", "n", "slice"), ("task", "n")):
         some = some.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy("k", "origin_id"))).where(F.col("r") * F.col("n") <= quota_)
     items = some.groupBy("task").agg(F.array_sort(F.collect_list(F.struct("k", "origin_id", "n"))).alias("items"))
-    start = F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<string>").alias("taken"))
 
-    def step(acc, x):
-        fits = acc["sum"] + x["n"] <= quota_
-        return F.struct(F.when(fits, acc["sum"] + x["n"]).otherwise(acc["sum"]).alias("sum"), F.when(fits, F.concat(acc["taken"], F.array(x["origin_id"]))).otherwise(acc["taken"]).alias("taken"))
+    def fits(total, n):
+        return F.when(total + n <= quota_, total + n).otherwise(total)
+
+    # In runs, so that no step copies all that were taken before: what a run takes needs its beginning alone.
+    def walk(begin, run):
+        first = F.struct(begin.alias("sum"), F.array().cast("array<string>").alias("taken"))
+
+        def step(acc, x):
+            more = F.concat(acc["taken"], F.array(x["origin_id"]))
+            return F.struct(fits(acc["sum"], x["n"]).alias("sum"), F.when(acc["sum"] + x["n"] <= quota_, more).otherwise(acc["taken"]).alias("taken"))
+
+        return F.aggregate(run, first, step, lambda acc: acc["taken"])
 
-    folded = items.select("task", F.explode(F.aggregate("items", start, step, lambda acc: acc["taken"])).alias("origin_id"))
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size("items") - 1) / 256).cast("int")), lambda i: F.slice("items", i * 256 + 1, 256))
+    cut = items.select("task", runs.alias("runs"))
+    begins = F.aggregate("runs", F.array(F.lit(0).cast("long")), lambda acc, run: F.concat(acc, F.array(F.aggregate(run, F.element_at(acc, -1), lambda total, x: fits(total, x["n"])))))
+    begun = cut.select("task", "runs", begins.alias("begins"))
+    taken = F.flatten(F.transform("runs", lambda run, i: walk(F.get("begins", i), run)))
+    folded = begun.select("task", F.explode(taken).alias("origin_id"))
     return whole.unionByName(folded)
 
 
