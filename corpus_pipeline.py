@@ -3,7 +3,11 @@
 quality classifier -> SimHash near-dedup -> benchmark decontamination ->
 PII redaction -> byte-level BPE.  Every stage takes (spark, docs, sf_dir) and
 works on all rows that its predecessor kept; all but the last return the columns
-of ``documents``.
+of ``documents``, whatever else the input has.
+
+Defined results, in every stage: a null text counts as empty; null ids, languages,
+sources and lengths are carried as they are; repeated rows are rows of their own
+(``near_dedup`` keeps one of them); no rows give no rows.
 """
 from __future__ import annotations
 
@@ -18,7 +22,9 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line CRF scores 0.7 or more."""
+    """Documents that the line CRF scores 0.7 or more; an empty text is one empty line.
+    Labels of unknown or repeated ids, and null labels, do no harm; without a usable
+    label every document scores 0.5 and goes."""
     model = line_crf.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     small_batches(spark)
     score = line_crf.score_column(spark, model)
@@ -26,23 +32,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of five-word-shingle similarity 0.8 or more."""
+    """One document of each group of five-word-shingle similarity 0.8 or more: the one of
+    the smallest id (null last), then of the least digest.  All wordless texts are one group."""
     return similar_groups.one_of_each(docs.select(*COLUMNS))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark; wordless texts and items match nothing."""
     return decontaminate.clean(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by its kind; n_chars follows the text."""
+    """Personal data replaced by its kind; n_chars follows the text (0 for a null text, which becomes empty)."""
     clean = docs.select("doc_id", pii.redacted(text_or_empty("text")).alias("text"), "lang", "source")
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the whole text, with the digests of ids and of decoded bytes."""
+    """Tokens of the whole text, with the digests of ids and of decoded bytes; an empty text has none."""
     ranks = tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.digests(bpe.round_trip(docs, ranks, tokenizers.PATTERN))
 
