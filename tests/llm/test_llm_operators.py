@@ -360,6 +360,97 @@ def test_class_lm(docs, rows, empty):
     assert class_lm.score(empty, n_seeds=8, n_local=8, n_classes=2).count() == 0
 
 
+def plain_class_lm(docs, half_of, n_seeds, n_local, n_classes, delta=0.5, epsilon=0.1, tolerance=0.005):
+    """id -> score, by counters and loops."""
+    texts = {k: (lowered(t), zlib.crc32(str(k).encode()) % 5 != 1) for k, t in docs}
+    train = [w for w, used in texts.values() if used]
+    c = Counter(w for words in train for w in words)
+    local = sorted(c, key=lambda w: (-c[w], w))[:n_local]
+    seeds = local[:n_seeds]
+    other, end, size = n_classes, n_classes + 1, n_classes + 2
+    symbols = {w: i for i, w in enumerate(seeds)}
+    matrix = np.zeros((n_seeds + 2, n_seeds + 2), int)
+    for words in train:
+        chain = [n_seeds + 1, *(symbols.get(w, n_seeds) for w in words), n_seeds + 1]
+        for x, y in zip(chain, chain[1:]):
+            matrix[x, y] += 1
+    of = dict(zip(seeds, class_lm.exchange(matrix, n_seeds, n_classes)[:n_seeds].tolist()))
+    fixed, near = dict(of), {w: Counter() for w in c}
+    for words in train:
+        chain = [end, *(fixed.get(w, other) for w in words), end]
+        for i, w in enumerate(words):
+            near[w][chain[i]] += 1
+            near[w][size + chain[i + 2]] += 1
+
+    def plogp(x):
+        return x * math.log(x) if x > 0 else 0.0
+
+    def counts():
+        total = [Counter() for _ in range(n_classes)]
+        for w, k in of.items():
+            total[k].update(near[w])
+        return total
+
+    def mass(k):
+        return sum(n for x, n in k.items() if x < size)
+
+    def likelihood():
+        return sum(sum(map(plogp, k.values())) - 2 * plogp(mass(k)) for k in counts())
+
+    def sweep(some):
+        now, moves = counts(), {}
+        for w in some:
+            def gain(k, w=w):
+                base, own = Counter(now[k]), c[w]
+                if of.get(w) == k:
+                    base.subtract(near[w])
+                m = mass(base)
+                return sum(plogp(base[x] + n) - plogp(base[x]) for x, n in near[w].items()) - 2 * (plogp(m + own) - plogp(m)) + (1e-6 if of.get(w) == k else 0)
+            moves[w] = max(range(n_classes), key=lambda k: (round(gain(k), 7), -k))
+        of.update(moves)
+
+    free = [w for w in c if w not in fixed]
+    sweep(free)
+    while True:
+        before = likelihood()
+        for half in (0, 1):
+            sweep([w for w in free if half_of[w] == half])
+        if likelihood() - before < tolerance * sum(c.values()):
+            break
+    pairs, unseen = np.zeros((size, size)), n_classes
+    for words in train:
+        chain = [end, *(unseen if c[w] == 1 else of[w] for w in words), end]
+        for x, y in zip(chain, chain[1:]):
+            pairs[x, y] += 1
+    steps = (pairs + epsilon) / (pairs.sum(axis=1, keepdims=True) + epsilon * size)
+    once = sum(n == 1 for n in c.values())
+    held = [sum(c[w] + delta for w in of if of[w] == k) + delta for k in range(n_classes)]
+    scores = {}
+    for key, (words, _) in texts.items():
+        chain = [end, *(of.get(w, unseen) for w in words), end]
+        total = sum(math.log10(steps[x, y]) for x, y in zip(chain, chain[1:]))
+        scores[key] = total + sum(math.log10((c[w] + delta) / held[of[w]]) if w in of else -math.log10(once + 1) for w in words)
+    return scores
+
+
+def test_class_lm_equals_a_plain_computation(spark, monkeypatch):
+    monkeypatch.setattr(class_lm, "SLAB", 7)
+    rng = np.random.default_rng(8)
+    kinds = [[f"{k}{i}" for i in range(12)] for k in "xyz"]
+    docs = []
+    for key in range(60):
+        k, words = int(rng.integers(3)), []
+        for _ in range(int(rng.integers(0, 40))):
+            words.append(str(rng.choice(kinds[k], p=np.arange(12, 0, -1) / 78)) if rng.random() < 0.95 else f"rare{rng.integers(200)}")
+            k = (k + (rng.random() < 0.9)) % 3
+        docs.append((key, " ".join(words)))
+    words = spark.createDataFrame([(bytearray(w, "utf-8"),) for w in {w for _, t in docs for w in lowered(t)}], "word binary")
+    half_of = {r.word.decode(): r.half for r in words.select("word", F.pmod(F.xxhash64("word"), F.lit(2)).alias("half")).collect()}
+    got = class_lm.score(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), n_seeds=9, n_local=20, n_classes=4)
+    want = plain_class_lm(docs, half_of, 9, 20, 4)
+    assert {r.doc_id: r.score for r in got.collect()} == pytest.approx(want)
+
+
 def test_exchange_raises_likelihood():
     rng = np.random.default_rng(3)
     kinds = rng.integers(0, 3, 30)
