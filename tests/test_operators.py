@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from tuplewright.functions import dims, labels, text
-from tuplewright.operators import answers, ranking, render, routing, sampling
+from tuplewright.operators import answers, ranking, render, routing, sampling, tools
 from tuplewright.sources import files
 from tuplewright.streaming.classified import classified_stream
 
@@ -133,6 +133,36 @@ def test_token_length_by_file(spark):
     assert column(spark, values, lambda c: text.token_len(c, f"file:{path}")) == want
 
 
+def test_tools_in_transcripts(spark):
+    q = '<|"|>'
+    weather = {"function": {"name": "weather", "description": "Tells it.", "parameters": {"type": "object", "required": ["city"], "properties": {
+        "unit": {"type": "string", "enum": ["C", "F"], "description": "Unit"}, "city": {"type": "string"},
+        "days": {"type": "array", "nullable": True, "items": {"type": "integer", "minimum": 1}}, "Area": {"type": "object", "properties": {"lat": {"type": "number"}}, "required": ["lat"]},
+    }}, "response": {"type": "object", "description": "A text"}}}
+    told = tools.declaration(weather)
+    area = "Area:{,properties:{lat:{type:#NUMBER#}},required:[#lat#]type:#OBJECT#}"
+    want = f"declaration:weather{{description:#Tells it.#,parameters:{{properties:{{{area},city:{{type:#STRING#}},days:{{nullable:true,items:{{minimum:1,type:#INTEGER#}},type:#ARRAY#}},unit:{{description:#Unit#,enum:[#C#,#F#],type:#STRING#}}}},required:[#city#],type:#OBJECT#}},response:{{description:#A text#,type:#OBJECT#}}}}"
+    assert told == want.replace("#", q)
+    assert tools.literal({"b": [1, 2.5, None, True], "A": "x"}) == f"{{{q}A{q}:{q}x{q},{q}b{q}:[1,2.5,None,true]}}"
+    messages = [
+        {"role": "user", "content": [{"type": "text", "text": " look "}, {"type": "image"}, {"type": "audio"}]},
+        {"role": "assistant", "tool_calls": [{"function": {"name": "weather", "arguments": {"unit": "C", "city": "Oslo"}}}], "content": "<|channel>hm<channel|> so "},
+        {"role": "tool", "tool_responses": [{"name": "weather", "response": {"t": 3}}, {"response": "mild"}]},
+    ]
+    text_ = f"<bos><|turn>system\n<|tool>{told}<tool|><turn|>\n<|turn>user\nlook\n\n<|image|>\n\n<|audio|><turn|>\n<|turn>model\n<|tool_call>call:weather{{city:{q}Oslo{q},unit:{q}C{q}}}<tool_call|>so<turn|>\n<|turn>tool\n<|tool_response>response:weather{{t:3}}<tool_response|><|tool_response>response:unknown{{value:{q}mild{q}}}<tool_response|>"
+    df = spark.createDataFrame([(json.dumps(messages), json.dumps([weather])), (None, None)], "m string, t string")
+    assert [r[0] for r in df.select(tools.rich_chat(generation=True)("m", "t")).collect()] == [text_, None]
+
+
+def test_tool_transcripts_without_tools_equal_the_native_ones(spark):
+    talks = [[("system", " be kind "), ("user", "hi\n"), ("assistant", "<|channel>think<channel|>yes<|channel>no")], [("user", "a"), ("assistant", "b"), ("user", "c")], [("developer", "d")]]
+    for generation in (False, True):
+        for talk in talks:
+            df = spark.createDataFrame([([dict(role=r, content=c) for r, c in talk],)], "m array<struct<role:string,content:string>>")
+            native = df.select(render.chat(F.col("m"), generation=generation, thinking=generation)).first()[0]
+            assert tools.transcript([dict(role=r, content=c) for r, c in talk], (), generation, generation) == native
+
+
 def test_unmet_floors(spark):
     rows = [("ner_ner", f"o{i}", f"o{i}", "owns" if i < 30 else "rare", "A", "B") for i in range(32)]
     df = spark.createDataFrame(rows, "task string, origin_id string, chunk_id string, label string, subj_group string, obj_group string")
