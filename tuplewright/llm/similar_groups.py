@@ -18,13 +18,13 @@ of ``simhash``:
    the majority add to the distance (four against five shingles differ in 3/16 of
    the bits); pairs with one have ``WIDER`` more bits.  Of each cell the spanning
    forest of least distances is kept.
-4. The links of the forests are verified on the shingle sets themselves; their
-   connected components are groups found so far.
-5. Bits do not order pairs by similarity, so where a link of a bucket's forests
-   failed, every pair within the radius whose ends are not yet in one group is
-   verified on the sets, which are dealt to the bucket for that.  A pair is left
-   out only if verified links join its ends.  The components of all verified
-   links are the groups.
+4. The components of all forests hold every pair that came within the radius
+   anywhere.  Their members are dealt out once more as cells, now with their
+   shingle sets, and compared again.
+5. In a cell the forest of least distances is verified first, on the sets
+   themselves; then, as bits do not order pairs by similarity, every pair within
+   the radius whose ends verified links do not join yet.  The components of
+   all verified links are the groups.
 
 A null or wordless text is the empty set, so such texts form one class; a text
 shorter than a shingle is one shingle.  Repeated rows are members of one class.
@@ -84,10 +84,10 @@ def wide_fingerprint(values: np.ndarray) -> np.ndarray:
 def keys_of(values: np.ndarray) -> np.ndarray:
     """A key per table from two least hashes."""
     if not len(values):
-        return np.zeros(TABLES, np.uint64)
+        return np.arange(TABLES, dtype=np.uint64)
     least = [_mixed(values, odd).min() for odd in _ODD[WORDS:]]
     pairs = np.array(least, np.uint64).reshape(TABLES, 2)
-    return _mixed(pairs[:, 0] + pairs[:, 1] * np.uint64(_ODD[0]), _ODD[1])
+    return _mixed(pairs[:, 0] + pairs[:, 1] * np.uint64(_ODD[0]) + np.arange(TABLES, dtype=np.uint64), _ODD[1])
 
 
 def radius_for(similarity: float) -> int:
@@ -194,49 +194,51 @@ def links(groups: list[np.ndarray], sizes: list[np.ndarray], radius: int) -> lis
     return found
 
 
-def open_pairs(apart: np.ndarray, labels: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
-    """Pairs within the radius, of different labels, of sizes that allow the similarity."""
-    least, most = np.minimum(sizes[:, None], sizes), np.maximum(sizes[:, None], sizes)
-    return (apart < 255) & (labels[:, None] != labels) & (least >= similarity * most)
-
-
-def joining(apart: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
-    """Verified links among the open pairs; a link makes two labels one."""
-    sizes = np.array([len(s) for s in sets])
-    pairs, labels, found = open_pairs(apart, labels, sizes, similarity), labels.copy(), []
+def joining(apart: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Verified links that join all members of a cell which links within the radius join: first
+    those of the forest, then every pair of different labels, of sizes that allow the
+    similarity; a link makes two labels one."""
+    sizes, found = np.array([len(s) for s in sets]), []
+    labels = np.arange(len(sets))
     names, flat = np.unique(np.concatenate(sets), return_inverse=True)
     ids, mark = np.split(flat, np.cumsum(sizes)[:-1]), np.zeros(len(names), bool)
-    for a in range(len(sets)):
-        others = np.flatnonzero(pairs[a, a + 1 :]) + a + 1
-        if not len(others):
-            continue
+
+    def tried(a: int, others: list[int]) -> None:
         mark[ids[a]] = True
-        for b in others.tolist():
+        for b in others:
             if labels[a] != labels[b]:
                 both = int(np.count_nonzero(mark[ids[b]]))
                 if both >= similarity * (int(sizes[a]) + int(sizes[b]) - both):
                     labels[labels == labels[b]] = labels[a]
                     found.append((a, b))
         mark[ids[a]] = False
+
+    for a, b in forest(apart):
+        tried(a, [b])
+    for a in range(len(sets)):
+        least, most = np.minimum(sizes[a], sizes[a + 1 :]), np.maximum(sizes[a], sizes[a + 1 :])
+        others = np.flatnonzero((apart[a, a + 1 :] < 255) & (labels[a + 1 :] != labels[a]) & (least >= similarity * most))
+        if len(others):
+            tried(a, (others + a + 1).tolist())
     return found
 
 
-_CELL = ("t", "bucket", "i", "j")
+_CELL = ("bucket", "i", "j")
 
 
 def _gathered(batches, *columns: str):
-    """Lists of whole cells (t, bucket, values of each column), of some 20 000
+    """Lists of whole cells (bucket, part, values of each column), of some 20 000
     rows or 16 MB of the last column, if that is of bytes."""
     held, size, last = [], 0, None
     for batch in batches:
         for *row, value in zip(*(batch.column(c).to_pylist() for c in (*_CELL, *columns))):
-            if row[:4] != last:
+            if row[:3] != last:
                 if size > 20_000:
                     yield held
                     held, size = [], 0
                 held.append((*row[:2], *([] for _ in columns)))
-                last = row[:4]
-            for to, v in zip(held[-1][2:], (*row[4:], value)):
+                last = row[:3]
+            for to, v in zip(held[-1][2:], (*row[3:], value)):
                 to.append(v)
             size += 1 + (len(value) // 800 if isinstance(value, bytes) else 0)
     if held:
@@ -251,60 +253,40 @@ def _sizes(cells) -> list[np.ndarray]:
     return [np.array(c[4]) for c in cells]
 
 
-def _numbers(values: list[bytes]) -> np.ndarray:
-    at: dict[bytes, int] = {}
-    return np.array([at.setdefault(v, len(at)) for v in values])
-
-
 def _compare(radius: int, out: T.StructType):
     def run(batches):
         to = arrow_schema(out)
         for cells in _gathered(batches, "cls", "fp", "n"):
-            rows = [(*cells[i][:2], *sorted((cells[i][2][a], cells[i][2][b]))) for i, a, b in links(_fingerprints(cells), _sizes(cells), radius)]
+            rows = [sorted((cells[i][2][a], cells[i][2][b])) for i, a, b in links(_fingerprints(cells), _sizes(cells), radius)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(to)], schema=to)
 
     return run
 
 
-def _left_open(radius: int, similarity: float, out: T.StructType):
-    """t, bucket, cls of the members of open pairs."""
-
+def _join(radius: int, similarity: float, out: T.StructType):
     def run(batches):
         to = arrow_schema(out)
-        for cells in _gathered(batches, "cls", "fp", "n", "component"):
+        for cells in _gathered(batches, "cls", "fp", "n", "shingles"):
             rows = []
             for i, own in matrices(_fingerprints(cells), _sizes(cells), radius):
-                some = open_pairs(own, _numbers(cells[i][5]), np.array(cells[i][4]), similarity).any(axis=1)
-                rows += [(*cells[i][:2], cells[i][2][k]) for k in np.flatnonzero(some).tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(to)], schema=to)
-
-    return run
-
-
-def _join_open(radius: int, similarity: float, out: T.StructType):
-    def run(batches):
-        to = arrow_schema(out)
-        for cells in _gathered(batches, "cls", "fp", "n", "component", "shingles"):
-            rows = []
-            for i, own in matrices(_fingerprints(cells), _sizes(cells), radius):
-                sets = [np.frombuffer(s, np.uint64) for s in cells[i][6]]
-                rows += [(cells[i][2][a], cells[i][2][b]) for a, b in joining(own, _numbers(cells[i][5]), sets, similarity)]
+                sets = [np.frombuffer(s, np.uint64) for s in cells[i][5]]
+                rows += [(cells[i][2][a], cells[i][2][b]) for a, b in joining(own, sets, similarity)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(to)], schema=to)
 
     return run
 
 
 def _cells(rows: DataFrame, *columns: str, size: str | None = None) -> DataFrame:
-    """``rows`` (t, bucket, cls and the columns) of buckets of two and more, dealt
+    """``rows`` (bucket, cls and the columns) of buckets of two and more, dealt
     out as cells; ``size`` is a column of bytes that bound a part too."""
     parts = F.ceil(F.col("n_rows") / F.lit(CELL))
     if size:
         parts = F.greatest(parts, F.ceil(F.col("n_bytes") / F.lit(SETS)))
-    sizes = rows.groupBy("t", "bucket").agg(F.count("*").alias("n_rows"), F.sum(size or F.lit(0)).alias("n_bytes")).where("n_rows > 1")
-    met = rows.join(sizes.select("t", "bucket", parts.cast("int").alias("parts")), ["t", "bucket"])
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n_rows"), F.sum(size or F.lit(0)).alias("n_bytes")).where("n_rows > 1")
+    met = rows.join(sizes.select("bucket", parts.cast("int").alias("parts")), "bucket")
     met = met.withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
     others = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: k != F.col("part")))
-    dealt = met.withColumn("other", F.explode(others)).select("t", "bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "cls", *columns)
+    dealt = met.withColumn("other", F.explode(others)).select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "cls", *columns)
     return dealt.repartition(shuffle_partitions(rows.sparkSession), *_CELL).sortWithinPartitions(*_CELL, "cls")
 
 
@@ -328,22 +310,6 @@ def _sets(rows: DataFrame, width: int, out: T.StructType) -> DataFrame:
     return rows.select("cls", "text").mapInArrow(run, out).dropDuplicates(["cls"])
 
 
-def _verified(similarity: float, out: T.StructType):
-    def run(batches):
-        to = arrow_schema(out)
-        for batch in batches:
-            cols: list[list] = [[], []]
-            for u, v, a, b in zip(*(batch.column(c).to_pylist() for c in ("u", "v", "a", "b"))):
-                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                if both >= similarity * (len(a) + len(b) - both):
-                    cols[0].append(u)
-                    cols[1].append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in cols], schema=to)
-
-    return run
-
-
 def groups(rows: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """``rows``: id, digest (a name of the text), text -> id, digest, cls, component of every
     row: rows are in one group if a chain of links of at least ``similarity`` joins them."""
@@ -367,26 +333,16 @@ def groups(rows: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFram
     classes = marked.groupBy("cls").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.min("digest").alias("digest"))
     pair = schema(("u", "binary"), ("v", "binary"))
     radius = radius_for(similarity)
-    placed = classes.select("cls", "fp", "n", F.posexplode("keys").alias("t", "bucket"))
-    met = schema(("t", "int"), ("bucket", "long"), ("u", "binary"), ("v", "binary"))
-    proposed = durable(_cells(placed, "fp", "n").mapInArrow(_compare(radius, met), met))
-    pairs = proposed.select("u", "v").distinct()
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("cls")).distinct().join(classes.select("cls", "digest"), "cls")
+    # A key holds its table, so keys of different tables do not meet.
+    placed = classes.select("cls", "fp", "n", F.explode("keys").alias("bucket"))
+    proposed = durable(_cells(placed, "fp", "n").mapInArrow(_compare(radius, pair), pair).distinct())
+    near_by = components(proposed).withColumnRenamed("node", "cls").withColumnRenamed("component", "bucket")
+    met = durable(near_by.join(classes.select("cls", "fp", "n", "digest"), "cls"))
     kept = schema(("cls", "binary"), ("shingles", "binary"))
-    sets = durable(_sets(rows.select("digest", "text").join(nodes, "digest"), width, kept))
-    sided = pairs.join(sets.select(F.col("cls").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("cls").alias("v"), F.col("shingles").alias("b")), "v")
-    verified = durable(sided.mapInArrow(_verified(similarity, pair), pair))
+    sets = _sets(rows.select("digest", "text").join(met.select("cls", "digest"), "digest"), width, kept)
+    held = durable(met.select("cls", "fp", "n", "bucket").join(sets, "cls").withColumn("size", F.length("shingles")))
+    verified = durable(_cells(held, "fp", "n", "shingles", size="size").mapInArrow(_join(radius, similarity, pair), pair))
     found = components(verified)
-    # Two classes of different groups within the radius have a failed link between them in the bucket's forests.
-    failed = proposed.join(verified, ["u", "v"], "left_anti").select("t", "bucket").distinct()
-    labelled = placed.join(failed, ["t", "bucket"]).join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    member = schema(("t", "int"), ("bucket", "long"), ("cls", "binary"))
-    left = durable(_cells(labelled, "fp", "n", "component").mapInArrow(_left_open(radius, similarity, member), member).distinct())
-    if not left.isEmpty():
-        held = labelled.join(left, ["t", "bucket", "cls"]).join(sets, "cls").withColumn("size", F.length("shingles"))
-        more = durable(_cells(held, "fp", "n", "component", "shingles", size="size").mapInArrow(_join_open(radius, similarity, pair), pair))
-        if not more.isEmpty():
-            found = components(verified.unionByName(more))
     return marked.select("id", "digest", "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left").select("id", "digest", "cls", F.coalesce("component", "cls").alias("component"))
 
 
