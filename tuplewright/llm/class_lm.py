@@ -157,9 +157,12 @@ def frequent_words(made: DataFrame, n: int) -> list[bytes]:
 def bigram_matrix(made: DataFrame, words: list[bytes]) -> np.ndarray:
     """Bigrams among ``words``, all other words and the ends of texts (the last two symbols)."""
     n = len(words) + 2
-    out = schema(("left", "int"), ("cells", "binary"))
+    out = schema(("left", "int"), ("salt", "int"), ("cells", "binary"))
 
     def run(batches):
+        from pyspark import TaskContext
+
+        salt = TaskContext.get().partitionId() % SALTS
         to, table, counts = arrow_schema(out), pa.array(words, pa.binary()), np.zeros(n * n, np.int64)
         for b in _read_blocks(batches):
             symbol = _places(b.words, table).astype(np.int64)
@@ -172,7 +175,7 @@ def bigram_matrix(made: DataFrame, words: list[bytes]) -> np.ndarray:
             row = counts[left * n : left * n + n]
             right = np.flatnonzero(row)
             cells = np.stack([right, row[right]], axis=1).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([left], pa.int32()), pa.array([cells.tobytes()], pa.binary())], schema=to)
+            yield pa.RecordBatch.from_arrays([pa.array([left], pa.int32()), pa.array([salt], pa.int32()), pa.array([cells.tobytes()], pa.binary())], schema=to)
 
     def merge(batches):
         to, sums = arrow_schema(out), {}
@@ -180,14 +183,19 @@ def bigram_matrix(made: DataFrame, words: list[bytes]) -> np.ndarray:
             for left, cells in zip(batch.column("left").to_pylist(), batch.column("cells").to_pylist()):
                 cells = np.frombuffer(cells, np.int64).reshape(-1, 2)
                 sums.setdefault(left, np.zeros(n, np.int64))[cells[:, 0]] += cells[:, 1]
-        if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], schema=to)
+        for left, row in sums.items():
+            right = np.flatnonzero(row)
+            cells = np.stack([right, row[right]], axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array([left], pa.int32()), pa.array([0], pa.int32()), pa.array([cells.tobytes()], pa.binary())], schema=to)
 
-    parts = min(shuffle_partitions(made.sparkSession), n)
+    parts = shuffle_partitions(made.sparkSession)
+    # The rows of a word come from every task: some tasks' are added up first.
+    some = made.mapInArrow(run, out).repartition(parts, "left", "salt").mapInArrow(merge, out)
     matrix = np.zeros((n, n), np.int64)
     # n rows of n counts at most.
-    for left, cells in made.mapInArrow(run, out).repartition(parts, "left").mapInArrow(merge, out).collect():
-        matrix[left] = np.frombuffer(cells, np.int64)
+    for left, _, cells in some.repartition(min(parts, n), "left").mapInArrow(merge, out).collect():
+        cells = np.frombuffer(cells, np.int64).reshape(-1, 2)
+        matrix[left, cells[:, 0]] = cells[:, 1]
     return matrix
 
 
