@@ -464,6 +464,31 @@ def test_exchange_raises_likelihood():
     assert len({(a, b) for a, b in zip(kinds, of[:30])}) == 3
 
 
+def test_exchange_ends_where_no_single_move_raises_likelihood(monkeypatch):
+    plogp, n, k = class_lm._plogp, 8, 3
+
+    def likelihood(bigrams, of):
+        counts = np.zeros((n + k, n + k))
+        np.add.at(counts, (of[:, None], of[None, :]), bigrams)
+        return plogp(counts).sum() - plogp(counts.sum(axis=0)).sum() - plogp(counts.sum(axis=1)).sum()
+
+    for seed in range(60):
+        rng = np.random.default_rng(seed)
+        kinds = rng.integers(0, k, n)
+        bigrams = rng.poisson(rng.gamma(0.3, 8, (k, k))[kinds][:, kinds] * rng.gamma(1, 1, n)[:, None] * rng.gamma(1, 1, n))
+        bigrams = np.pad(bigrams, (0, 1), constant_values=2)
+        # An exchange that goes round in circles runs out of calls.
+        calls = iter(range(20_000))
+        monkeypatch.setattr(class_lm, "_plogp", lambda x, calls=calls: (next(calls), plogp(x))[1])
+        of = class_lm.exchange(bigrams, n, k)
+        best = likelihood(bigrams, of)
+        for w in range(n):
+            for c in range(k):
+                other = of.copy()
+                other[w] = c
+                assert likelihood(bigrams, other) <= best + 1e-5, (seed, w, c)
+
+
 def test_components_against_union_find(spark):
     rng = np.random.default_rng(5)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(1000, 1060)] + [(None, 3), (5, 5)]

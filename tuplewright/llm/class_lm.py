@@ -230,6 +230,8 @@ def exchange(bigrams: np.ndarray, n_words: int, n_classes: int) -> np.ndarray:
     one_hot[np.arange(total), of] = 1
     counts = one_hot.T @ bigrams @ one_hot
     big = bigrams.astype(float)
+    # Above the error of a gain, so a move does raise the likelihood and no state comes twice.
+    rounding = max(1e-6, 1e-13 * float(_plogp(big.sum())))
     moved = 1
     while moved:
         moved = 0
@@ -249,10 +251,11 @@ def exchange(bigrams: np.ndarray, n_words: int, n_classes: int) -> np.ndarray:
             gain = (_plogp(rows + right) - _plogp(rows)).sum(axis=1) + (_plogp(cols + left) - _plogp(cols)).sum(axis=1)
             d, r, l = counts[c, c], right[c], left[c]
             gain += _plogp(d + r + l + own) - _plogp(d) - (_plogp(d + r) - _plogp(d)) - (_plogp(d + l) - _plogp(d))
-            for side, add in ((counts[:n_classes].sum(axis=1), right.sum() + own), (counts[:, :n_classes].sum(axis=0), left.sum() + own)):
-                gain -= _plogp(side + add) - _plogp(side)
+            # A class's totals have lost its bigrams with the word too, which come back wherever the word goes.
+            for side, back, add in ((counts[:n_classes].sum(axis=1), left[c], right.sum() + own), (counts[:, :n_classes].sum(axis=0), right[c], left.sum() + own)):
+                gain -= _plogp(side + back + add) - _plogp(side + back)
             new = int(np.argmax(gain))
-            if gain[new] <= gain[old] + 1e-6:
+            if gain[new] <= gain[old] + rounding:
                 new = old
             moved += new != old
             of[w] = new
